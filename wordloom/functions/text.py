@@ -23,16 +23,14 @@ ALPHANUMERIC = "^[a-zA-Z0-9]+$"
 
 def split_words(text: Column) -> Column:
     """White-space tokens of punctuation-free text, contractions split in two."""
-    tokens = F.split(text, SPACES)
 
     def parts(token: Column) -> Column:
-        out = F.array(token)
+        pair = F.array(token)
         for whole, pieces in CONTRACTIONS:
-            out = F.when(token == whole, F.array(*[F.lit(p) for p in pieces])).otherwise(out)
-        return out
+            pair = F.when(token == whole, F.array(*[F.lit(p) for p in pieces])).otherwise(pair)
+        return F.when(token.isin(*[whole for whole, _ in CONTRACTIONS]), pair).otherwise(F.array(token))
 
-    has_contraction = text.rlike("|".join(whole for whole, _ in CONTRACTIONS))
-    return F.when(has_contraction, F.flatten(F.transform(tokens, parts))).otherwise(tokens)
+    return F.flatten(F.transform(F.split(text, SPACES), parts))
 
 
 def clean_tokens(text: Column, stop_words: Sequence[str] = ENGLISH, min_length: int = 3) -> Column:
@@ -71,6 +69,15 @@ def is_blank(text: Column) -> Column:
     return F.coalesce(F.regexp_replace(text, SPACES, ""), F.lit("")) == ""
 
 
+def once(value: Column) -> Column:
+    """Selects ``value`` through a generator, so that later uses of it read a column.
+
+    Without it the optimiser copies a costly expression into every place that
+    names it, and each copy is evaluated.
+    """
+    return F.explode(F.array(value))
+
+
 def join_texts(*texts: Column) -> Column:
     """Texts joined by one space, nulls skipped; all null gives an empty text."""
     return F.concat_ws(" ", *texts)

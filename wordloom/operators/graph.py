@@ -45,7 +45,7 @@ def two_hop(edges: DataFrame, min_weight: float = MIN_WEIGHT) -> DataFrame:
     # The heavier edge (ties by rank) leads, so each unordered pair is formed once.
     lead = (F.col("w1") > F.col("w2")) | ((F.col("w1") == F.col("w2")) & (F.col("r1") < F.col("r2")))
     wedges = heavy.join(two, ["category", "c"]).filter(lead).withColumn(
-        "w", F.round((F.col("w1") + F.col("w2")) / 2, 10)
+        "w", (F.col("w1") + F.col("w2")) / 2
     ).filter(F.col("w") > min_weight)
     first = F.col("r1") < F.col("r2")
     pairs = wedges.select(

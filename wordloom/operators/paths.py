@@ -62,7 +62,9 @@ def simple_paths(
         limits = F.sequence(F.greatest(F.size("ranks") - 1, F.lit(2)), F.lit(max_edges))
         if distinct:
             limits = F.slice(limits, 1, 1)
-        return out.select("category", "path", "ranks", "end", F.explode(limits).cast("bigint").alias("max_len"))
+        return out.select("category", "path", "ranks", "end", F.explode(limits).alias("max_len")).withColumn(
+            "max_len", F.col("max_len").cast("bigint")
+        )
 
     def cut(rows: DataFrame) -> DataFrame:
         order = Window.partitionBy("category").orderBy(F.get("ranks", F.lit(0)), "max_len", "end", "ranks")
@@ -121,7 +123,7 @@ def shortest_paths(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             .filter(~F.array_contains("path", F.col("peer")))
             .select(
                 "category", "rs", F.col("rp").alias("rt"), F.array_append("path", F.col("peer")).alias("path"),
-                F.round(F.col("cost") + F.col("w"), 9).alias("cost"), F.lit(True).alias("fresh"),
+                F.round(F.col("cost") + F.col("w"), 10).alias("cost"), F.lit(True).alias("fresh"),
             )
         )
         choice = F.struct("cost", "path", "fresh")

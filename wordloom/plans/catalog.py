@@ -131,7 +131,7 @@ def path_guard(spark, sf):
 def image_table(spark, sf) -> DataFrame:
     """app_images as JSON lists, JSON objects, bad JSON and nulls, made from the page URLs."""
     def uri(i):
-        payload = F.base64(F.concat("url", F.lit(f"#{i}")).cast("binary"))
+        payload = F.replace(F.base64(F.concat("url", F.lit(f"#{i}")).cast("binary")), F.lit("\r\n"), F.lit(""))
         return F.concat(F.lit("data:image/png;base64,"), payload)
 
     pages = table(spark, sf, "pages")
@@ -230,7 +230,7 @@ def tfidf_weights(spark, sf):
 
 
 def _ranked(scores: DataFrame) -> DataFrame:
-    return tfidf.rank_terms(scores).withColumn("score", text_of(F.col("score")))
+    return tfidf.rank_terms(scores)
 
 
 @query
@@ -251,14 +251,14 @@ def keywords_union(spark, sf):
 @query
 def keywords_capped(spark, sf):
     scores = tfidf.term_scores(corpus_weights(whole_corpus(spark, sf), keep_empty=True))
-    return tfidf.rank_short_list(scores).withColumn("score", text_of(F.col("score")))
+    return tfidf.rank_short_list(scores)
 
 
 # --- graph -------------------------------------------------------------------------------------------
 
 
 def _shown(edges: DataFrame) -> DataFrame:
-    return edges.select("category", "a", "b", text_of(F.col("w")).alias("w"))
+    return edges.select("category", "a", "b", "w")
 
 
 @query
@@ -332,7 +332,7 @@ def nested_keywords(spark, sf):
 def shortest_paths(spark, sf):
     _, links = keyword_graph(corpus(spark, sf))
     return paths.shortest_paths(links).select(
-        "category", "source", "target", F.array_join("path", " ").alias("path"), text_of(F.col("cost")).alias("cost")
+        "category", "source", "target", F.array_join("path", " ").alias("path"), "cost"
     )
 
 
@@ -375,7 +375,7 @@ def network_json(spark, sf):
     )
     return nested.select(
         "category", "pos", "keyword", "is_sufficient", F.col("n.keyword").alias("nested_keyword"),
-        text_of(F.col("n.weight")).alias("weight"),
+        F.col("n.weight").alias("weight"),
     )
 
 
@@ -612,7 +612,7 @@ def vector_append(spark, sf):
 def knn_search(spark, sf):
     rows = table(spark, sf, "embeddings")
     found = vectors.knn(rows.select(F.col("vec_id").alias("query_id"), "embedding"), rows, dim=DIM)
-    return found.select("query_id", "rank", "vec_id", text_of(F.col("l2")).alias("l2"))
+    return found.select("query_id", "rank", "vec_id", "l2")
 
 
 def _hits(spark, sf, by_reference: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -144,10 +144,10 @@ CTES["all_full"] = "SELECT * FROM all_tok WHERE len(tokens) > 0"
 keyword_ctes("u_", "all_full", None)
 keyword_ctes("k_", "all_tok", 1000)
 
-RANKED = "SELECT category, term, round(score, 6) AS score, row_number() OVER (PARTITION BY category ORDER BY score DESC, term) AS rank FROM "
+RANKED = "SELECT category, term, score, row_number() OVER (PARTITION BY category ORDER BY score DESC, term) AS rank FROM "
 oracle("tfidf_weights", "SELECT category, doc_id, term, tf, round(w, 6) AS w FROM t_weights")
 oracle("keyword_scores", RANKED + "t_scores")
-oracle("keywords_filtered", "SELECT category, term, round(score, 6) AS score, rank FROM t_keywords")
+oracle("keywords_filtered", "SELECT category, term, score, rank FROM t_keywords")
 oracle("keywords_union", RANKED + "u_scores")
 oracle("keywords_capped", RANKED + "k_scores")
 
@@ -177,8 +177,8 @@ def refine_ctes(prefix: str, rounds: int, cap: int | None) -> str:
     for i in range(1, rounds + 1):
         p = f"{prefix}{i}_"
         CTES[f"{p}seen"] = two_way(edges)
-        mean = "round((s.w + t.w) / 2, 10)"
-        cut = f"QUALIFY row_number() OVER (PARTITION BY category ORDER BY rc, ra, rb) <= {cap}" if cap else ""
+        mean = "(s.w + t.w) / 2"
+        cut = f"QUALIFY row_number() OVER (PARTITION BY s.category ORDER BY s.rn, s.rp, t.rp) <= {cap}" if cap else ""
         CTES[f"{p}pairs"] = (
             f"SELECT s.category, s.rn AS rc, s.peer AS a, t.peer AS b, s.rp AS ra, t.rp AS rb, {mean} AS w FROM {p}seen s "
             f"JOIN {p}seen t ON s.category = t.category AND s.node = t.node AND s.rp < t.rp WHERE {mean} > 7 AND NOT EXISTS "
@@ -195,7 +195,7 @@ def refine_ctes(prefix: str, rounds: int, cap: int | None) -> str:
 FREE = refine_ctes("free_", 3, None)
 CAPPED = refine_ctes("capped_", 2, 100)
 REFINED = refine_ctes("ref_", 2, 10_000)
-SHOWN = "SELECT category, a, b, round(w, 6) AS w FROM "
+SHOWN = "SELECT category, a, b, w FROM "
 oracle("term_edges", SHOWN + "links")
 oracle("refine_edges", SHOWN + FREE)
 oracle("refine_edges_capped", SHOWN + CAPPED)
@@ -207,7 +207,7 @@ CTES["vec_pairs"] = (
 )
 oracle(
     "similarity_edges",
-    "SELECT 'all' AS category, CAST(i AS VARCHAR) AS a, CAST(j AS VARCHAR) AS b, round(sim * 10, 6) AS w FROM vec_pairs WHERE sim > 0.35",
+    "SELECT 'all' AS category, CAST(i AS VARCHAR) AS a, CAST(j AS VARCHAR) AS b, round(sim * 10, 10) AS w FROM vec_pairs WHERE sim > 0.35",
 )
 
 CTES["linked"] = two_way("links")
@@ -279,20 +279,20 @@ oracle(
     "SELECT category, string_agg(term, ' ' ORDER BY term) AS nest, count(*) AS size FROM first_clique GROUP BY category, turn",
 )
 
-ROUNDS = 12
+ROUNDS = 40
 CTES["best_0"] = "SELECT DISTINCT category, rn AS rs, rn AS rt, [node] AS path, CAST(0 AS DOUBLE) AS cost FROM linked"
 for _i in range(1, ROUNDS + 1):
     CTES[f"best_{_i}"] = (
         "SELECT category, rs, rt, m.path AS path, m.cost AS cost FROM (SELECT category, rs, rt, min({'cost': cost, 'path': path}) AS m FROM "
         f"(SELECT category, rs, rt, path, cost FROM best_{_i - 1} UNION ALL "
-        "SELECT b.category, b.rs, l.rp, list_append(b.path, l.peer), round(b.cost + l.w, 9) "
+        "SELECT b.category, b.rs, l.rp, list_append(b.path, l.peer), round(b.cost + l.w, 10) "
         f"FROM best_{_i - 1} b JOIN linked l ON l.category = b.category AND l.rn = b.rt WHERE NOT list_contains(b.path, l.peer)) "
         "GROUP BY category, rs, rt)"
     )
 CTES["shortest"] = f"SELECT category, path, cost FROM best_{ROUNDS} WHERE rs < rt"
 oracle(
     "shortest_paths",
-    "SELECT category, path[1] AS source, path[-1] AS target, array_to_string(path, ' ') AS path, round(cost, 6) AS cost FROM shortest",
+    "SELECT category, path[1] AS source, path[-1] AS target, array_to_string(path, ' ') AS path, cost FROM shortest",
 )
 CTES["path_words"] = "SELECT category, path, unnest(path) AS term FROM shortest"
 CTES["held"] = (
@@ -347,7 +347,7 @@ CTES["nseq"] = (
 )
 oracle(
     "network_json",
-    "SELECT k.category, k.pos, k.keyword, k.is_sufficient, s.peer AS nested_keyword, round(s.w, 6) AS weight FROM nk k "
+    "SELECT k.category, k.pos, k.keyword, k.is_sufficient, s.peer AS nested_keyword, s.w AS weight FROM nk k "
     "LEFT JOIN net_seen s ON s.category = k.category AND s.rn = k.rank",
 )
 oracle(
@@ -477,7 +477,7 @@ def score_ctes(prefix: str, terms: str, failing: str) -> None:
     )
     CTES[f"{p}scored"] = (
         "SELECT row_id, field, yes AS suff_matches, no AS insuff_matches, CASE WHEN NOT void AND (final > 0.5 OR (yes > no AND final > 0)) "
-        f"THEN 'sufficient' ELSE {lit(failing)} END AS label, CASE WHEN void THEN 0.0 ELSE round(round(final * 100, 6), 2) END AS percentage FROM {p}final"
+        f"THEN 'sufficient' ELSE {lit(failing)} END AS label, CASE WHEN void THEN 0.0 ELSE CAST(printf('%.2f', final * 100) AS DOUBLE) END AS percentage FROM {p}final"
     )
 
 
@@ -570,7 +570,7 @@ DISTANCE = "round(list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] -
 CTES["near_vecs"] = f"SELECT q.vec_id AS query_id, s.vec_id, {DISTANCE.format('q.v', 's.v')} AS l2 FROM vecs q CROSS JOIN vecs s"
 oracle(
     "knn_search",
-    "SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY l2, vec_id) AS rank, vec_id, round(l2, 6) AS l2 FROM near_vecs QUALIFY rank <= 5",
+    "SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY l2, vec_id) AS rank, vec_id, l2 FROM near_vecs QUALIFY rank <= 5",
 )
 CTES["questions"] = (
     f"SELECT conv_id * 1000 + turn AS query_id, text AS query, {clean_tokens('text')} AS tokens FROM conversations WHERE role = 'user'"
@@ -684,8 +684,8 @@ CTES["uris"] = (
 )
 oracle(
     "image_rows",
-    "SELECT 'app' || page_id AS app_name, form < 2 AS status, CAST(CASE form WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 0 END AS BIGINT) AS total_images, "
-    "CASE WHEN form < 2 THEN u[1] END AS first_image, CASE form WHEN 2 THEN 'Failed to parse app_images JSON' WHEN 3 THEN 'Images Fetched Successfully' "
+    "SELECT 'app' || page_id AS app_name, form <> 2 AS status, CAST(CASE form WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 0 END AS BIGINT) AS total_images, "
+    "CASE WHEN form < 2 THEN u[1] END AS first_image, CASE form WHEN 2 THEN 'Failed to parse app_images JSON' "
     "ELSE 'Images Fetched Successfully' END AS message FROM uris UNION ALL "
     "SELECT 'no-app' || page_id, false, 0, NULL, 'Images Not Found' FROM uris",
 )

@@ -93,8 +93,9 @@ def numbered_descriptions(df: DataFrame) -> DataFrame:
     return tidy.select(F.col("no").cast("string").alias("no"), F.coalesce("description", F.lit("")).alias("description"))
 
 
-def read_network(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(NETWORK_SCHEMA).option("multiLine", True).json(path)
+def read_network(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Network documents, one per line, or (``lines=False``) one JSON array per file."""
+    return spark.read.schema(NETWORK_SCHEMA).option("multiLine", not lines).json(path)
 
 
 def network_keywords(network: DataFrame) -> DataFrame:
