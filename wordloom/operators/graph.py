@@ -70,8 +70,9 @@ def refine(
 
     A pair reached through several centres keeps the weight of the centre of
     highest rank. The cap counts such repeats and cuts by (centre, pair) rank.
+    ``edges`` should be staged; the result is the union of staged tables.
     """
-    current = stage(edges.select(*EDGE), "edges")
+    current = edges.select(*EDGE)
     for _ in range(rounds):
         found = two_hop(current, min_weight)
         if cap is not None:

@@ -55,7 +55,18 @@ def _grams(text, size: int):
     return F.regexp_extract_all(text, F.lit("(?=(.{%d}))" % size), F.lit(1))
 
 
-def match_substrings(texts: DataFrame, keywords: DataFrame, key: Sequence[str]) -> DataFrame:
+def run_counts(texts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, run, n): the runs of word characters of each text, counted."""
+    return (
+        texts.select(*key, F.explode(word_runs(F.col("text"))).alias("run"))
+        .groupBy(*key, "run")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def match_substrings(
+    texts: DataFrame, keywords: DataFrame, key: Sequence[str], runs: DataFrame | None = None
+) -> DataFrame:
     """Keywords contained anywhere in the lower-cased text: (key, pos).
 
     A keyword of word characters lies inside one run of word characters, so it is
@@ -63,7 +74,8 @@ def match_substrings(texts: DataFrame, keywords: DataFrame, key: Sequence[str])
     the three-letter parts of the runs, and the few pairs that meet are checked.
     Texts then meet keywords through their runs. Of a keyword with other
     characters its longest run is looked for, and the text itself is checked.
-    Every keyword holds at least one word character.
+    Every keyword holds at least one word character. ``runs`` takes counted runs
+    that are at hand already.
     """
     low = F.lower("keyword")
     pieces = word_runs(F.col("keyword"))
@@ -71,7 +83,9 @@ def match_substrings(texts: DataFrame, keywords: DataFrame, key: Sequence[str])
     wanted = keywords.select("pos", low.alias("_kw"), longest.alias("_p")).withColumn(
         "_g", F.substring("_p", 1, 3)
     )
-    runs = texts.select(*key, F.explode(F.array_distinct(word_runs(F.col("text")))).alias("_run"))
+    if runs is None:
+        runs = texts.select(*key, F.explode(F.array_distinct(word_runs(F.col("text")))).alias("run"))
+    runs = runs.withColumnRenamed("run", "_run")
     shorter = [r[0] for r in wanted.select(F.length("_g")).distinct().collect() if r[0] < 3]
     parts = F.array_distinct(F.concat(*[_grams(F.col("_run"), n) for n in (*shorter, 3)]))
     inside = (

@@ -22,7 +22,7 @@ def simple_paths(
     max_edges: int = MAX_EDGES,
     cap: int | None = SEQUENCE_CAP,
     distinct: bool = False,
-    first_sources: int = 64,
+    first_sources: int = 128,
 ) -> DataFrame:
     """Simple paths of up to ``max_edges`` edges between sampled nodes, in emission order.
 
@@ -31,8 +31,9 @@ def simple_paths(
     ``distinct``. (category, n, max_len, path, ranks). With a cap only as many
     sources as it takes are grown: their number doubles until every category has
     reached the cap or used up its sources, so the result is the exact prefix.
+    ``edges`` should be staged.
     """
-    arcs = stage(_arcs(edges), "arcs")
+    arcs = _arcs(edges)
     ends = sample.select("category", F.col("rank").alias("end"))
     linked = sample.join(
         arcs.select("category", F.col("tail").alias("rank")).distinct(), ["category", "rank"], "left_semi"

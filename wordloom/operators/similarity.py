@@ -44,27 +44,15 @@ def term_edges(weights: DataFrame, keywords: DataFrame, threshold: float = THRES
 
     ``weights`` is (category, doc_id, term, w), ``keywords`` (category, term, rank).
     Dot products are sums over documents, so each task takes a slice of the
-    documents and returns one partial sum per pair of terms that meet there.
+    documents and returns one partial sum per pair of terms that meet there. Both
+    tables should be staged: they are read more than once.
     """
-    entries = stage(
-        weights.join(keywords.select("category", "term", "rank"), ["category", "term"]).select(
-            "category", "doc_id", (F.col("rank") - 1).cast("int").alias("i"), "w"
-        ),
-        "entries",
+    top = keywords.agg(F.max("rank")).first()[0] or 0
+    blocks = max(1, math.ceil(top / TERM_BLOCK))
+    slices = max(1, math.ceil(weights.count() * blocks / ENTRIES_PER_TASK))
+    entries = weights.join(keywords.select("category", "term", "rank"), ["category", "term"]).select(
+        "category", "doc_id", (F.col("rank") - 1).cast("int").alias("i"), "w"
     )
-    size = entries.agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("top")).first()
-    if not size.n:
-        return _to_edges(
-            keywords.limit(0).select(
-                "category", F.col("term").alias("a"), F.col("term").alias("b"),
-                F.col("rank").alias("ra"), F.col("rank").alias("rb"), F.lit(0.0).alias("sim"),
-            ),
-            threshold,
-        )
-    blocks = size.top // TERM_BLOCK + 1
-    slices = max(1, math.ceil(size.n * blocks / ENTRIES_PER_TASK))
-    norms = entries.groupBy("category", "i").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-
     sliced = entries.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)).cast("int"))
     paired = _with_block_pairs(sliced.withColumn("blk", F.floor(F.col("i") / TERM_BLOCK).cast("int")), "blk", blocks)
     width, chunk = TERM_BLOCK, 2048
@@ -89,32 +77,29 @@ def term_edges(weights: DataFrame, keywords: DataFrame, threshold: float = THRES
                 sides.append(dense)
             total += sides[0].T @ sides[1]
         if bi == bj:
-            total = np.triu(total, 1)
+            total = np.triu(total)  # the diagonal holds the squared norms
         left, right = np.nonzero(total)
         return pd.DataFrame(
             {"category": category, "i": left + bi * width, "j": right + bj * width, "dot": total[left, right]}
         ).astype({"i": "int32", "j": "int32"})
 
-    dots = (
+    dots = stage(
         paired.groupBy("category", "bi", "bj", "slice")
         .applyInPandas(partial_dots, "category string, i int, j int, dot double")
         .groupBy("category", "i", "j")
-        .agg(F.sum("dot").alias("dot"))
-    )
-    names = keywords.select("category", "term", "rank", (F.col("rank") - 1).cast("int").alias("i")).join(
-        norms, ["category", "i"]
+        .agg(F.sum("dot").alias("dot")),
+        "dots",
     )
+    norms = dots.filter("i = j").select("category", (F.col("i") + 1).cast("bigint").alias("rank"), F.sqrt("dot").alias("norm"))
+    names = keywords.select("category", "term", "rank").join(norms, ["category", "rank"])
 
     def side(prefix: str, index: str) -> DataFrame:
         return names.select(
-            "category",
-            F.col("i").alias(index),
-            F.col("term").alias(prefix),
-            F.col("rank").alias("r" + prefix),
-            F.col("norm").alias("norm_" + prefix),
+            "category", (F.col("rank") - 1).cast("int").alias(index), F.col("term").alias(prefix),
+            F.col("rank").alias("r" + prefix), F.col("norm").alias("norm_" + prefix),
         )
 
-    named = dots.join(side("a", "i"), ["category", "i"]).join(side("b", "j"), ["category", "j"])
+    named = dots.filter("i < j").join(side("a", "i"), ["category", "i"]).join(side("b", "j"), ["category", "j"])
     return _to_edges(
         named.withColumn("sim", F.col("dot") / (F.col("norm_a") * F.col("norm_b"))), threshold
     )

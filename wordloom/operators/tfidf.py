@@ -70,16 +70,20 @@ def tfidf(tokens: DataFrame, statistics: DataFrame, vocabulary: DataFrame | None
     before the norms are taken.
     """
     n_docs = statistics.filter(F.col("term").isNull()).select("category", F.col("df").alias("n_docs"))
-    counted = tokens.select("category", "doc_id", F.explode("tokens").alias("term"))
-    if vocabulary is not None:
-        counted = counted.join(vocabulary.select("category", "term"), ["category", "term"], "left_semi")
-    counted = counted.groupBy("category", "doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     weighed = (
         (statistics.filter(F.col("term").isNotNull()) if vocabulary is None else vocabulary)
         .join(n_docs, "category")
         .select("category", "term", idf(F.col("n_docs"), F.col("df")).alias("idf"))
     )
-    raw = counted.join(weighed, ["category", "term"]).withColumn("x", F.col("tf") * F.col("idf"))
+    words = tokens.select("category", "doc_id", F.explode("tokens").alias("term"))
+    count = F.count(F.lit(1)).alias("tf")
+    if vocabulary is None:
+        # Count first: it makes the table that meets the long list of terms shorter.
+        raw = words.groupBy("category", "doc_id", "term").agg(count).join(weighed, ["category", "term"])
+    else:
+        # Meet the short list first: it drops most words before they are shuffled.
+        raw = words.join(weighed, ["category", "term"]).groupBy("category", "doc_id", "term", "idf").agg(count)
+    raw = raw.withColumn("x", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("category", "doc_id")))
     return raw.select("category", "doc_id", "term", "tf", (F.col("x") / norm).alias("w"))
 

@@ -13,7 +13,7 @@ from wordloom.functions.text import clean_tokens, clean_transcript, join_texts,
 from wordloom.operators import cliques, documents, graph, matching, paths, ranking, routing, scoring, tfidf, vectors
 from wordloom.operators.similarity import vector_edges
 from wordloom.plans.network import Network, build_network, corpus_weights, keyword_graph
-from wordloom.session import new_path, stage
+from wordloom.session import new_path, spread, stage
 from wordloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,7 +164,7 @@ def image_payloads(spark, sf):
 
 def validation_rows(spark, sf) -> DataFrame:
     """(row_id, category, short, description, text): the two text columns joined."""
-    return corpus(spark, sf).select(
+    return spread(corpus(spark, sf)).select(
         F.col("doc_id").alias("row_id"), "category", first_line(F.col("text")).alias("short"),
         F.col("text").alias("description"),
     ).withColumn("text", join_texts(F.col("short"), F.col("description")))
@@ -439,7 +439,7 @@ def _first_category(net: Network) -> tuple[DataFrame, DataFrame]:
 
 def _texts(spark, sf) -> DataFrame:
     """Both text columns of the scoring table, one row each."""
-    rows = table(spark, sf, "documents").select(
+    rows = spread(table(spark, sf, "documents").select("doc_id", "text")).select(
         F.col("doc_id").alias("row_id"), first_line(F.col("text")).alias("short_description"), F.col("text").alias("description")
     )
     return rows.unpivot("row_id", ["short_description", "description"], "field", "text")
@@ -554,7 +554,7 @@ def sentiment_label(spark, sf):
 
 
 def _document_vectors(spark, sf) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text"))
     tokens = docs.select("vec_id", clean_tokens(F.col("text")).alias("tokens"))
     return docs.join(vectors.hash_embed(tokens, "vec_id", DIM), "vec_id")
 
@@ -575,7 +575,9 @@ def _asked(questions: DataFrame) -> DataFrame:
 
 @query
 def hash_embed(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", clean_tokens(F.col("text")).alias("tokens"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", clean_tokens(F.col("text")).alias("tokens")
+    )
     long = vectors.hash_embed(docs, "doc_id", DIM).select("doc_id", F.posexplode("embedding").alias("dim_no", "value"))
     return long.select("doc_id", F.col("dim_no").cast("bigint").alias("dim_no"), text_of(F.col("value").cast("double"), 5).alias("value"))
 

@@ -53,7 +53,7 @@ def build_network(
 ) -> Network:
     """Keywords of ``corpus(doc_id, category, text)`` with their neighbours and paths."""
     ranked, links = keyword_graph(corpus, cap, threshold)
-    edges = stage(graph.refine(links, rounds, min_weight), "refined")
+    edges = graph.refine(links, rounds, min_weight)
     enough = graph.node_sufficiency(ranked, edges, min_weight=min_weight)
     near = graph.connected(edges).select("category", F.col("keyword").alias("term"), "nested")
     none = F.array().cast(near.schema["nested"].dataType)
@@ -67,10 +67,7 @@ def build_network(
     found = paths.simple_paths(graph.sample_nodes(ranked), edges, cap=sequence_cap).select(
         "category", F.col("n").alias("path_id"), "path", "ranks"
     )
-    sequences = stage(
-        graph.path_sufficiency(found, edges, min_weight=min_weight).select(
-            "category", (F.col("path_id") - 1).alias("pos"), F.col("path").alias("sequence"), "ranks", "is_sufficient"
-        ),
-        "network-sequences",
+    sequences = graph.path_sufficiency(found, edges, min_weight=min_weight).select(
+        "category", (F.col("path_id") - 1).alias("pos"), F.col("path").alias("sequence"), "ranks", "is_sufficient"
     )
     return Network(ranked, links, edges, keywords, sequences)
