@@ -36,8 +36,8 @@ def hash_embed(tokens: DataFrame, id_col: str, dim: int = 64) -> DataFrame:
         .select(
             id_col,
             F.transform(
-                F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.get(F.map_values(F.map_filter(
-                    "m", lambda k, v: k == i)), F.lit(0)), F.lit(0.0)).cast("float")
+                F.sequence(F.lit(0), F.lit(dim - 1)),
+                lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)).cast("float"),
             ).alias("embedding"),
         )
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import records
 from wordloom.functions.lexicon import POLARITY
-from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, preview
+from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, once, preview
 from wordloom.operators import cliques, documents, graph, matching, paths, ranking, routing, scoring, tfidf, vectors
 from wordloom.operators.similarity import vector_edges
 from wordloom.plans.network import Network, build_network, corpus_weights, keyword_graph
@@ -515,7 +515,7 @@ def row_report(spark, sf):
 def annotations(spark, sf) -> DataFrame:
     """Stand-in for a tagger: capitalised words as ORG, pairs of words as NOUN_CHUNK, spans in words."""
     words = F.split("text", r"\s+")
-    docs = table(spark, sf, "documents").select("doc_id", words.alias("w"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", once(words).alias("w"))
     orgs = docs.select("doc_id", F.posexplode("w").alias("i", "text")).filter(F.col("text").rlike("^[A-Z]")).select(
         "doc_id", F.col("i").alias("pos"), F.col("i").alias("start"), (F.col("i") + 1).alias("end"), "text",
         F.lit("ORG").alias("type"),
