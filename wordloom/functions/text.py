@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.lexicon import CONTRACTIONS, ENGLISH, FILLERS
@@ -78,6 +78,13 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def rows_of(df: DataFrame, keep: Sequence[str], items: Column, *names: str) -> DataFrame:
+    """One row per item (with its position, given two names), the array built once per input row."""
+    built = df.select(*keep, once(items).alias("_items"))
+    explode = F.posexplode if len(names) == 2 else F.explode
+    return built.select(*keep, explode("_items").alias(*names))
+
+
 def join_texts(*texts: Column) -> Column:
     """Texts joined by one space, nulls skipped; all null gives an empty text."""
     return F.concat_ws(" ", *texts)

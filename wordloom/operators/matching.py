@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.text import WORD, word_runs
+from wordloom.functions.text import rows_of, word_runs
 
 
 def match_keywords(tokens: DataFrame, keywords: DataFrame, key: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
@@ -23,7 +23,7 @@ def match_keywords(tokens: DataFrame, keywords: DataFrame, key: Sequence[str], o
     A keyword of several words (a network from elsewhere) is found by its first
     word and then looked for in the cleaned text itself.
     """
-    words = tokens.select(*key, *on, F.explode(F.array_distinct("tokens")).alias("_w"))
+    words = rows_of(tokens, [*key, *on], F.array_distinct("tokens"), "_w")
     cut = keywords.select(*on, "pos", "keyword", F.split(F.lower("keyword"), " ").alias("_ws"))
     met = words.join(cut.withColumn("_w", F.get("_ws", F.lit(0))), [*on, "_w"])
     single = met.filter(F.size("_ws") == 1).select(*key, *on, "pos", "keyword")
@@ -39,7 +39,7 @@ def match_keywords(tokens: DataFrame, keywords: DataFrame, key: Sequence[str], o
 
 def match_sequences_all(tokens: DataFrame, sequences: DataFrame, key: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
     """Sequences all of whose words occur, in any order: (key, on, pos)."""
-    words = tokens.select(*key, *on, F.explode(F.array_distinct("tokens")).alias("_w"))
+    words = rows_of(tokens, [*key, *on], F.array_distinct("tokens"), "_w")
     need = F.array_distinct("sequence")
     wanted = sequences.select(*on, "pos", F.size(need).alias("_n"), F.explode(need).alias("_w"))
     return (
@@ -58,7 +58,7 @@ def _grams(text, size: int):
 def run_counts(texts: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key, run, n): the runs of word characters of each text, counted."""
     return (
-        texts.select(*key, F.explode(word_runs(F.col("text"))).alias("run"))
+        rows_of(texts, key, word_runs(F.col("text")), "run")
         .groupBy(*key, "run")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -84,13 +84,12 @@ def match_substrings(
         "_g", F.substring("_p", 1, 3)
     )
     if runs is None:
-        runs = texts.select(*key, F.explode(F.array_distinct(word_runs(F.col("text")))).alias("run"))
+        runs = rows_of(texts, key, F.array_distinct(word_runs(F.col("text"))), "run")
     runs = runs.withColumnRenamed("run", "_run")
     shorter = [r[0] for r in wanted.select(F.length("_g")).distinct().collect() if r[0] < 3]
     parts = F.array_distinct(F.concat(*[_grams(F.col("_run"), n) for n in (*shorter, 3)]))
     inside = (
-        runs.select("_run").distinct()
-        .select("_run", F.explode(parts).alias("_g"))
+        rows_of(runs.select("_run").distinct(), ["_run"], parts, "_g")
         .join(wanted, "_g")
         .filter(F.col("_run").contains(F.col("_p")))
         .select("_run", "pos", "_kw", "_p")
@@ -112,11 +111,8 @@ def match_sequences_ordered(texts: DataFrame, sequences: DataFrame, key: Sequenc
     Words are word-character runs. Each word of a sequence brings its places in
     the line; walking the sequence, the earliest place after the last one is taken.
     """
-    lines = texts.select(*key, F.posexplode(F.split(F.lower("text"), "\n")).alias("_line", "_text"))
-    places = lines.select(
-        *key, "_line",
-        F.posexplode(F.regexp_extract_all("_text", F.lit(f"[{WORD}]+"), F.lit(0))).alias("_at", "_w"),
-    )
+    lines = rows_of(texts, key, F.split(F.col("text"), "\n"), "_line", "_text")
+    places = rows_of(lines, [*key, "_line"], word_runs(F.col("_text")), "_at", "_w")
     wanted = sequences.select("pos", F.size("sequence").alias("_n"), F.posexplode("sequence").alias("_i", "_w"))
     by_word = (
         places.join(wanted.select("_w").distinct(), "_w", "left_semi")

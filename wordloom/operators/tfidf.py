@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.functions.text import ALPHANUMERIC, once
+from wordloom.functions.text import ALPHANUMERIC, once, rows_of
 from wordloom.operators.ranking import number_rows
 from wordloom.session import spread
 
@@ -42,7 +42,7 @@ def term_statistics(tokens: DataFrame) -> DataFrame:
         F.transform("tokens", lambda t: entry(t, 1, 0)),
     )
     return (
-        tokens.select("category", F.explode(entries).alias("e"))
+        rows_of(tokens, ["category"], entries, "e")
         .groupBy("category", "e.term")
         .agg(F.sum("e.total").alias("total"), F.sum("e.df").alias("df"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import records
 from wordloom.functions.lexicon import POLARITY
-from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, once, preview
+from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, once, preview, rows_of
 from wordloom.operators import cliques, documents, graph, matching, paths, ranking, routing, scoring, tfidf, vectors
 from wordloom.operators.similarity import vector_edges
 from wordloom.plans.network import Network, build_network, corpus_weights, keyword_graph
@@ -92,7 +92,7 @@ def file_metadata(spark, sf):
 
 @query
 def page_elements(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", F.posexplode(documents.page_elements(F.col("html"))).alias("pos", "element"))
+    pages = rows_of(spread(table(spark, sf, "pages").select("page_id", "html")), ["page_id"], documents.page_elements(F.col("html")), "pos", "element")
     return pages.withColumn("pos", F.col("pos").cast("bigint"))
 
 
@@ -152,9 +152,7 @@ def image_rows(spark, sf):
 
 @query
 def image_payloads(spark, sf):
-    listed = image_table(spark, sf).select(
-        "app_name", F.posexplode(records.image_list(F.col("app_images"))).alias("pos", "uri")
-    )
+    listed = rows_of(image_table(spark, sf), ["app_name"], records.image_list(F.col("app_images")), "pos", "uri")
     mime, size = records.image_payload(F.col("uri"))
     return listed.select("app_name", F.col("pos").cast("bigint").alias("pos"), mime.alias("mime"), size.alias("n_bytes"))
 
@@ -397,7 +395,7 @@ def network_shred(spark, sf):
 
 
 def _validation_tokens(rows: DataFrame) -> DataFrame:
-    return rows.select("row_id", "category", clean_tokens(F.col("text")).alias("tokens"))
+    return rows.select("row_id", "category", once(clean_tokens(F.col("text"))).alias("tokens"))
 
 
 @query
@@ -546,7 +544,7 @@ def annotation_sufficiency(spark, sf):
 def sentiment_label(spark, sf):
     lexicon = spark.createDataFrame(list(POLARITY), "term string, polarity int")
     words = F.split(F.lower("text"), r"[^\p{L}\p{N}_]+")
-    tokens = table(spark, sf, "conversations").select("conv_id", "turn", words.alias("tokens"))
+    tokens = table(spark, sf, "conversations").select("conv_id", "turn", once(words).alias("tokens"))
     return documents.sentiment_labels(tokens, lexicon, ["conv_id", "turn"])
 
 
@@ -555,18 +553,16 @@ def sentiment_label(spark, sf):
 
 def _document_vectors(spark, sf) -> DataFrame:
     docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text"))
-    tokens = docs.select("vec_id", clean_tokens(F.col("text")).alias("tokens"))
+    tokens = docs.select("vec_id", once(clean_tokens(F.col("text"))).alias("tokens"))
     return docs.join(vectors.hash_embed(tokens, "vec_id", DIM), "vec_id")
 
 
 def _questions(spark, sf) -> DataFrame:
     """User turns as queries; the reference word of a query is its longest word."""
-    tokens = clean_tokens(F.col("text"))
-    longest = F.array_max(F.transform(tokens, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
+    longest = F.array_max(F.transform("tokens", lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
     return table(spark, sf, "conversations").filter(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query"),
-        tokens.alias("tokens"), longest.alias("reference"),
-    )
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("query"), once(clean_tokens(F.col("text"))).alias("tokens")
+    ).withColumn("reference", longest)
 
 
 def _asked(questions: DataFrame) -> DataFrame:
@@ -576,7 +572,7 @@ def _asked(questions: DataFrame) -> DataFrame:
 @query
 def hash_embed(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text")).select(
-        "doc_id", clean_tokens(F.col("text")).alias("tokens")
+        "doc_id", once(clean_tokens(F.col("text"))).alias("tokens")
     )
     long = vectors.hash_embed(docs, "doc_id", DIM).select("doc_id", F.posexplode("embedding").alias("dim_no", "value"))
     return long.select("doc_id", F.col("dim_no").cast("bigint").alias("dim_no"), text_of(F.col("value").cast("double"), 5).alias("value"))
@@ -696,7 +692,7 @@ def parse_assignments(spark, sf):
     single = F.concat(F.lit("[{'agent': 'Email Agent', 'path': '"), path, F.lit("'}]"))
     forms = F.array(double, single, F.concat(F.lit("```json\n"), double, F.lit("\n```")), F.lit("no list"))
     rows = table(spark, sf, "documents").select("doc_id", F.get(forms, (F.col("doc_id") % 4).cast("int")).alias("raw"))
-    return rows.select("doc_id", F.explode(records.parse_assignments(F.col("raw"))).alias("a")).select("doc_id", "a.agent", "a.path")
+    return rows_of(rows, ["doc_id"], records.parse_assignments(F.col("raw")), "a").select("doc_id", "a.agent", "a.path")
 
 
 @query
