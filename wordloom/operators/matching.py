@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import rows_of, word_runs
+from wordloom.session import stage
 
 
 def match_keywords(tokens: DataFrame, keywords: DataFrame, key: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
@@ -37,22 +38,45 @@ def match_keywords(tokens: DataFrame, keywords: DataFrame, key: Sequence[str], o
     return single.unionByName(several)
 
 
-def match_sequences_all(tokens: DataFrame, sequences: DataFrame, key: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
-    """Sequences all of whose words occur, in any order: (key, on, pos)."""
-    words = rows_of(tokens, [*key, *on], F.array_distinct("tokens"), "_w")
-    need = F.array_distinct("sequence")
-    wanted = sequences.select(*on, "pos", F.size(need).alias("_n"), F.explode(need).alias("_w"))
-    return (
-        words.join(wanted, [*on, "_w"])
-        .groupBy(*key, *on, "pos", "_n")
-        .agg(F.count(F.lit(1)).alias("_hit"))
-        .filter(F.col("_hit") == F.col("_n"))
-        .select(*key, *on, "pos")
+def _lower(sequences: DataFrame) -> DataFrame:
+    return sequences.withColumn("sequence", F.transform("sequence", lambda w: F.lower(w)))
+
+
+def _anchored(held: DataFrame, sequences: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Pairs of a row of ``held(.., on, _words)`` and a sequence that may match it.
+
+    A sequence is tried only where its rarest word occurs, so a word shared by
+    many sequences, or found in many texts, does not multiply the pairs. Equal
+    sequences are tried once; ``_poss`` lists where they stand in the network.
+    """
+    distinct = sequences.groupBy(*on, "sequence").agg(F.collect_list("pos").alias("_poss"))
+    rows = held.select("*", F.explode("_words").alias("_w"))
+    frequency = rows.groupBy(*on, "_w").agg(F.count(F.lit(1)).alias("_n"))
+    anchors = (
+        distinct.select(*on, "sequence", "_poss", F.explode(F.array_distinct("sequence")).alias("_w"))
+        .join(frequency, [*on, "_w"], "left")
+        .groupBy(*on, "sequence", "_poss")
+        .agg(F.min_by("_w", F.struct(F.coalesce("_n", F.lit(0)), "_w")).alias("_w"))
     )
+    return rows.join(anchors, [*on, "_w"])
 
 
-def _grams(text, size: int):
-    return F.regexp_extract_all(text, F.lit("(?=(.{%d}))" % size), F.lit(1))
+def match_sequences_all(tokens: DataFrame, sequences: DataFrame, key: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
+    """Sequences all of whose words occur, in any order and case: (key, on, pos)."""
+    sequences = _lower(sequences)
+    wanted = sequences.select(*on, F.explode("sequence").alias("_w")).distinct()
+    held = stage(
+        rows_of(tokens, [*key, *on], F.array_distinct("tokens"), "_w")
+        .join(wanted, [*on, "_w"], "left_semi")
+        .groupBy(*key, *on)
+        .agg(F.collect_list("_w").alias("_words")),
+        "held-words",
+    )
+    return (
+        _anchored(held, sequences, on)
+        .filter(F.size(F.array_except("sequence", "_words")) == 0)
+        .select(*key, *on, F.explode("_poss").alias("pos"))
+    )
 
 
 def run_counts(texts: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -64,6 +88,10 @@ def run_counts(texts: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def _grams(text: Column, size: int) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?=(.{%d}))" % size), F.lit(1))
+
+
 def match_substrings(
     texts: DataFrame, keywords: DataFrame, key: Sequence[str], runs: DataFrame | None = None
 ) -> DataFrame:
@@ -108,28 +136,28 @@ def match_substrings(
 def match_sequences_ordered(texts: DataFrame, sequences: DataFrame, key: Sequence[str]) -> DataFrame:
     """Sequences whose words occur in order within one line, any gap: (key, pos).
 
-    Words are word-character runs. Each word of a sequence brings its places in
-    the line; walking the sequence, the earliest place after the last one is taken.
+    Words are word-character runs. Of each line only the words of sequences are
+    kept, in order; walking them, every word that is the next one wanted moves the
+    sequence on by one.
     """
+    sequences = _lower(sequences)
+    wanted = sequences.select(F.explode("sequence").alias("_w")).distinct()
     lines = rows_of(texts, key, F.split(F.col("text"), "\n"), "_line", "_text")
-    places = rows_of(lines, [*key, "_line"], word_runs(F.col("_text")), "_at", "_w")
-    wanted = sequences.select("pos", F.size("sequence").alias("_n"), F.posexplode("sequence").alias("_i", "_w"))
-    by_word = (
-        places.join(wanted.select("_w").distinct(), "_w", "left_semi")
-        .groupBy(*key, "_line", "_w")
-        .agg(F.collect_list("_at").alias("_ats"))
+    held = stage(
+        rows_of(lines, [*key, "_line"], word_runs(F.col("_text")), "_at", "_w")
+        .join(wanted, "_w", "left_semi")
+        .groupBy(*key, "_line")
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "_w"))).alias("_seen"))
+        .select(*key, "_line", F.col("_seen._w").alias("_seen"), F.array_distinct("_seen._w").alias("_words")),
+        "held-lines",
     )
     walk = F.aggregate(
-        F.array_sort("_steps"),
-        F.lit(-1),
-        lambda last, step: F.array_min(F.filter(step["_ats"], lambda at: at > last)),
+        "_seen", F.lit(0), lambda i, w: F.when(F.get("sequence", i) == w, i + 1).otherwise(i)
     )
     return (
-        by_word.join(wanted, "_w")
-        .groupBy(*key, "_line", "pos", "_n")
-        .agg(F.collect_list(F.struct("_i", "_ats")).alias("_steps"))
-        .filter((F.size("_steps") == F.col("_n")) & walk.isNotNull())
-        .select(*key, "pos")
+        _anchored(held, sequences, [])
+        .filter((F.size(F.array_except("sequence", "_words")) == 0) & (walk == F.size("sequence")))
+        .select(*key, F.explode("_poss").alias("pos"))
         .distinct()
     )
 
