@@ -6,8 +6,6 @@ Edges are ``(category, a, b, ra, rb, w)``, one row per undirected edge with
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -238,7 +236,3 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> Data
     return nodes.join(root, ["category", "rank"], "left").select(
         "category", "term", "rank", F.coalesce("root", "rank").alias("component")
     )
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

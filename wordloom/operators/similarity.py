@@ -152,12 +152,3 @@ def vector_edges(vectors: DataFrame, threshold: float, block_rows: int = VECTOR_
         matches, "category string, a string, b string, ra bigint, rb bigint, sim double"
     )
     return _to_edges(pairs, threshold)
-
-
-def isolated_and_linked(keywords: DataFrame, edges: DataFrame) -> DataFrame:
-    """Keywords with their degree; those without an edge stay nodes of the graph."""
-    ends = edges.select("category", F.explode(F.array("a", "b")).alias("term"))
-    degree = ends.groupBy("category", "term").agg(F.count(F.lit(1)).alias("degree"))
-    return keywords.join(degree, ["category", "term"], "left").fillna(0, ["degree"])
-
-
