@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from wordloom.llm.bpe_encode import bpe_digests
 from wordloom.llm.lm_score import ctw_scores
+from wordloom.llm.token_count import token_counts
 
 
 def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -14,8 +17,20 @@ def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     return ctw_scores(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+def op3_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return bpe_digests(spark.read.parquet(f"{sf}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_token_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it exceeds 512 tokens."""
+    return token_counts(spark.read.parquet(f"{sf}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op3_bpe_codec": op3_bpe_codec,
+    "op4_token_count": op4_token_count,
 }
 
 #: SQL twins, where SQL can express the operator.
