@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths, dtype=np.int64)
         start = 0
         while start < batch.num_rows:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.bpe_encode import bpe_digests
+from wordloom.llm.langid import predict_languages, train_identifier
 from wordloom.llm.lm_score import ctw_scores
 from wordloom.llm.token_count import token_counts
 
@@ -17,6 +18,12 @@ def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     return ctw_scores(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document by rank-order profiles."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return predict_languages(docs, train_identifier(docs))
+
+
 def op3_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe_digests(spark.read.parquet(f"{sf}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"))
@@ -29,6 +36,7 @@ def op4_token_count(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op2_language_id": op2_language_id,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_token_count": op4_token_count,
 }
