@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wordloom.llm.bpe_encode import bpe_digests
 from wordloom.llm.langid import predict_languages, train_identifier
 from wordloom.llm.lm_score import ctw_scores
+from wordloom.llm.quality import quality_scores
 from wordloom.llm.token_count import token_counts
 
 
@@ -34,11 +35,17 @@ def op4_token_count(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(spark.read.parquet(f"{sf}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Calibrated quality of every document, learned from the labels."""
+    return quality_scores(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_token_count": op4_token_count,
+    "op7_quality": op7_quality,
 }
 
 #: SQL twins, where SQL can express the operator.
