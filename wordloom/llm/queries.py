@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordloom.llm.bpe_encode import bpe_digests
 from wordloom.llm.langid import predict_languages, train_identifier
 from wordloom.llm.lm_score import ctw_scores
+from wordloom.llm.packing import pack_documents
 from wordloom.llm.quality import quality_scores
 from wordloom.llm.token_count import token_counts
+from wordloom.llm.topk import exact_top_k
 
 
 def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,12 +43,24 @@ def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
 
 
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in a sequence of one of the permitted lengths."""
+    return pack_documents(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+def op10_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return exact_top_k(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_token_count": op4_token_count,
     "op7_quality": op7_quality,
+    "op8_packing": op8_packing,
+    "op10_top_k": op10_top_k,
 }
 
 #: SQL twins, where SQL can express the operator.
