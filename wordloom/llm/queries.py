@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm.bpe_encode import bpe_digests
+from wordloom.llm.fingerprint import fingerprints
+from wordloom.llm.html_text import extract_text
 from wordloom.llm.langid import predict_languages, train_identifier
 from wordloom.llm.lm_score import ctw_scores
 from wordloom.llm.packing import pack_documents
@@ -38,6 +40,16 @@ def op4_token_count(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(spark.read.parquet(f"{sf}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Bottom-k sketches of every document and of its edited text."""
+    return fingerprints(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+def op6_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
 def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Calibrated quality of every document, learned from the labels."""
     return quality_scores(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
@@ -58,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_token_count": op4_token_count,
+    "op5_fingerprint": op5_fingerprint,
+    "op6_html_text": op6_html_text,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op10_top_k": op10_top_k,
