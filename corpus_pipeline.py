@@ -4,10 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wordloom.llm.jaccard_join import keep_one
+from wordloom.llm.langid import keep_known, train_identifier
+from wordloom.llm.packing import pack_documents
+from wordloom.llm.quality import keep_good
 from wordloom.session import stage
 
-STAGES: list = []
+#: Texts of junk and of no language lie below; every text of a known language lies well above.
+LEAST_LIKENESS = 0.2
+LEAST_QUALITY = 0.3
 
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that no language profile of the corpus resembles."""
+    return keep_known(docs, train_identifier(docs), LEAST_LIKENESS)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that are unlikely to be labelled good."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), LEAST_QUALITY)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: five-word shingles, likeness 0.8 or more."""
+    return keep_one(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces in training sequences."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("language", known_language),
+    ("quality", good_quality),
+    ("near_copies", near_copies),
+    ("packing", packed),
+]
+
+#: No stage but the last could be said in SQL; tests/llm holds run() against plain Python.
 ORACLE_SQL = None
 
 

@@ -69,3 +69,14 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 def as_texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
+
+
+def plain_names(df: DataFrame, **known: str) -> DataFrame:
+    """The frame with its columns named by place, but for the ``known`` ones: new name = old name."""
+    places = {df.columns.index(old): new for new, old in known.items()}
+    return df.toDF(*[places.get(i, f"c{i}") for i in range(len(df.columns))])
+
+
+def sent_whole(small: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """Marked for broadcast if it is counted to have at most so many rows; else left to a shuffled join."""
+    return F.broadcast(small) if small.limit(most_rows + 1).count() <= most_rows else small

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import as_texts, fold, pick, text_slices
+from wordloom.llm.common import as_texts, fold, pick, plain_names, text_slices
 
 PROFILE = 300
 LETTER_BITS = 18  # every letter of Unicode lies below U+40000
@@ -198,9 +198,7 @@ def predict_languages(docs: DataFrame, identifier: Identifier, id: str = "doc_id
 
 def keep_known(docs: DataFrame, identifier: Identifier, least: float, text: str = "text") -> DataFrame:
     """The rows, unchanged, whose text is like some language by at least ``least``."""
-    places = list(range(len(docs.columns)))
-    at = docs.columns.index(text)
-    plain = docs.toDF(*["text" if i == at else f"c{i}" for i in places])
+    plain = plain_names(docs, text=text)
     schema = plain.schema.add("lang_pred", "string").add("score", "double")
     told = plain.mapInArrow(identify_batches(identifier), schema).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
     return told.select(*plain.columns).toDF(*docs.columns)

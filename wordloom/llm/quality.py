@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import as_bytes, fold, pick, text_slices
+from wordloom.llm.common import as_bytes, fold, pick, plain_names, text_slices
 from wordloom.session import stage
 
 #: Classes of bytes whose share is a statistic; what is in none counts as other.
@@ -242,7 +242,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = 0.3, folds:
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = 0.3, text: str = "text") -> DataFrame:
     """The rows, unchanged, whose score reaches ``cut``."""
     model = train_quality(describe_texts(docs), labels)
-    at = docs.columns.index(text)
-    plain = docs.toDF(*["text" if i == at else f"c{i}" for i in range(len(docs.columns))])
+    plain = plain_names(docs, text=text)
     scored = plain.mapInArrow(score_texts(model), plain.schema.add("score", "double"))
     return scored.filter(F.col("score") >= cut).select(*plain.columns).toDF(*docs.columns)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.bpe_encode import bpe_digests
 from wordloom.llm.fingerprint import fingerprints
 from wordloom.llm.html_text import extract_text
+from wordloom.llm.jaccard_join import jaccard_components
 from wordloom.llm.langid import predict_languages, train_identifier
 from wordloom.llm.lm_score import ctw_scores
 from wordloom.llm.packing import pack_documents
@@ -60,6 +61,11 @@ def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are alike by 0.9 or more."""
+    return jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"), words=3, over=9, under=10)
+
+
 def op10_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     return exact_top_k(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("id") % 50 == 0)
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_text": op6_html_text,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
 }
 
