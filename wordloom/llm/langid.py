@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm.common import as_texts, fold, pick, plain_names, text_slices
 
@@ -199,6 +200,6 @@ def predict_languages(docs: DataFrame, identifier: Identifier, id: str = "doc_id
 def keep_known(docs: DataFrame, identifier: Identifier, least: float, text: str = "text") -> DataFrame:
     """The rows, unchanged, whose text is like some language by at least ``least``."""
     plain = plain_names(docs, text=text)
-    schema = plain.schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([*plain.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     told = plain.mapInArrow(identify_batches(identifier), schema).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
     return told.select(*plain.columns).toDF(*docs.columns)

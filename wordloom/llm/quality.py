@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm.common import as_bytes, fold, pick, plain_names, text_slices
 from wordloom.session import stage
@@ -243,5 +244,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, cut: float = 0.3, text: str =
     """The rows, unchanged, whose score reaches ``cut``."""
     model = train_quality(describe_texts(docs), labels)
     plain = plain_names(docs, text=text)
-    scored = plain.mapInArrow(score_texts(model), plain.schema.add("score", "double"))
+    scored = plain.mapInArrow(score_texts(model), T.StructType([*plain.schema, T.StructField("score", T.DoubleType())]))
     return scored.filter(F.col("score") >= cut).select(*plain.columns).toDF(*docs.columns)
