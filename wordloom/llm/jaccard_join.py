@@ -10,10 +10,11 @@ large is the one with the least cost, from the counts of sizes and from how ofte
 shingles repeat. Rareness comes from a sketch of counters of fixed size; any order that
 is the same for all sets gives exact results, a good one gives short lists.
 
-A key's list is not expanded into pairs. Each member is first compared to one hub of the
+A key's list is not expanded into pairs. Each member is first compared to the hub of the
 list, so that a large group of near copies costs one comparison each; lists whose members
-are connected by then are done. Pairs that are still apart in a list are all compared.
-Nothing is capped: what rounds of hubs leave over goes through the last, complete one.
+are connected by then are done. In the others, what is not connected to the hub is
+compared to all that it is not connected to, in cells of bounded size inside tasks, by
+bitmaps whose bound is exact; only pairs that may link leave a task. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ COUNTERS = 1 << 20
 SLICES = 64
 SMALL_SIZES = 64
 BITMAP = 1024
-HUB_ROUNDS = 2
+BLOCK = 1024
 SIFT = 1 << 20
 
 
@@ -214,6 +215,36 @@ def may_link(threshold: Threshold):
     return run
 
 
+def compare_cell(threshold: Threshold):
+    """Pairs of two blocks of a list, not connected, near in size and with bitmaps near enough."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = table.column("id").combine_chunks()
+        n, side = (table.column(c).to_numpy().astype(np.int64) for c in ("n", "side"))
+        place = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(n), -1)
+        within = table.column("cell")[0].as_py()["kind"] == 1
+        firsts = np.arange(len(n)) if within else np.flatnonzero(side == 1)
+        found_a, found_b = [], []
+        for start in range(0, len(firsts), 32):
+            a = firsts[start : start + 32, None]
+            b = np.arange(len(n))[None, :] if within else np.flatnonzero(side == 0)[None, :]
+            apart = np.zeros((len(a), b.shape[1]), np.int64)
+            for word in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[a, word] ^ bits[b, word])
+            near = (n[a] + n[b] - apart) // 2 >= threshold.shared(n[a], n[b])
+            near &= (np.minimum(n[a], n[b]) * threshold.under >= np.maximum(n[a], n[b]) * threshold.over) & (place[a] != place[b])
+            if within:
+                near &= a < b
+            x, y = np.nonzero(near)
+            found_a.append(a[x, 0])
+            found_b.append(b[0, y])
+        a, b = (ids.take(pa.array(np.concatenate([*x, np.zeros(0, np.int64)]))) for x in (found_a, found_b))
+        return pa.table({"a": a, "b": b})
+
+    return run
+
+
 def do_link(threshold: Threshold):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,22 +341,38 @@ class Join:
         small, large = F.least(n, m), F.greatest(n, m)
         return small * self.threshold.under >= large * self.threshold.over
 
-    def join_hubs(self, number: int) -> DataFrame:
-        """Each entry beside one member of its list, if they are not connected yet."""
-        order = F.col("id") if number == 0 else F.xxhash64("id", F.lit(number))
-        hubs = self.entries.groupBy("key").agg(
-            F.min(F.struct(order.alias("o"), "id", "n", "component")).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter("low <> high")
-        met = self.entries.join(hubs, "key").filter((F.col("component") != F.col("hub.component")) & self.near_size("n", "hub.n"))
-        return met.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+    def join_hub(self) -> DataFrame:
+        """Each entry beside the smallest id of its list."""
+        hubs = self.entries.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"))
+        met = self.entries.join(hubs, "key").filter((F.col("id") != F.col("hub.id")) & self.near_size("n", "hub.n"))
+        return met.select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
 
     def join_rest(self) -> DataFrame:
-        """All pairs of a list that are not connected yet."""
-        apart = self.entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-        left = stage(self.entries.join(apart, "key"), "rest")
-        right = left.select("key", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("where"))
-        met = left.join(right, "key").filter((F.col("id") < F.col("other")) & (F.col("component") != F.col("where")) & self.near_size("n", "m"))
-        return met.select(F.col("id").alias("a"), F.col("other").alias("b"))
+        """Pairs of a list that may link and are not connected yet.
+
+        A list has two sides: what is connected to its hub, and the rest. Blocks of the rest meet all blocks, blocks
+        of the first side never meet each other; a block has about BLOCK members, two of them make a cell.
+        """
+        mains = self.entries.groupBy("key").agg(
+            F.min(F.struct("id", "component"))["component"].alias("main"), F.min("component").alias("low"), F.max("component").alias("high")
+        ).filter("low <> high")
+        sided = self.entries.join(mains.select("key", "main"), "key").withColumn("side", (F.col("component") != F.col("main")).cast("int"))
+        sided = stage(sided.join(self.reps.select("id", "bits").dropDuplicates(["id", "bits"]), "id"), "sided")
+        blocks = sided.groupBy("key").agg(*[
+            F.ceil(F.sum(F.when(F.col("side") == side, 1).otherwise(0)) / BLOCK).cast("int").alias(f"blocks{side}") for side in (0, 1)
+        ])
+        own = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.col("blocks1"))).cast("int")
+        placed = sided.join(blocks, "key").withColumn("block", own)
+        numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        cross = F.transform(numbers("blocks1"), lambda k: F.struct(F.lit(0).alias("kind"), k.alias("i"), F.col("block").alias("j")))
+        across = F.transform(numbers("blocks0"), lambda k: F.struct(F.lit(0).alias("kind"), F.col("block").alias("i"), k.alias("j")))
+        inside = F.transform(
+            numbers("blocks1"), lambda k: F.struct(F.lit(1).alias("kind"), F.least("block", k).alias("i"), F.greatest("block", k).alias("j"))
+        )
+        cells = placed.withColumn("cell", F.explode(F.when(F.col("side") == 0, cross).otherwise(F.concat(across, inside))))
+        return cells.select("key", "cell", "id", "n", "component", "side", "bits").groupBy("key", "cell").applyInArrow(
+            compare_cell(self.threshold), f"a {self.kind}, b {self.kind}"
+        ).distinct()
 
     def relabel(self, found: DataFrame) -> None:
         base = self.entries.select("key", "id", "n")
@@ -337,11 +384,8 @@ class Join:
         """(id, n, component) of every row."""
         self.prepare()
         self.read_sets()
-        edges = self.spark.createDataFrame([], f"a {self.kind}, b {self.kind}")
-        for number in range(HUB_ROUNDS):
-            edges = stage(edges.unionByName(self.verify(self.join_hubs(number))), "links")
-            found = components(edges)
-            self.relabel(found)
+        edges = stage(self.verify(self.join_hub()), "links")
+        self.relabel(components(edges))
         edges = stage(edges.unionByName(self.verify(self.join_rest())), "links")
         found = components(edges)
         named = self.classes.join(found, "id", "left").select("sign", F.coalesce("component", "id").alias("component"))
