@@ -139,3 +139,19 @@ def test_no_patterns_is_not_sufficient(spark, net, texts):
     empty = [df.limit(0) for df in net]
     rows = scoring.score_descriptions(texts, *empty, ["row_id"]).collect()
     assert len(rows) == 9 and {(r.label, r.percentage) for r in rows} == {("not sufficient", 0.0)}
+
+
+def test_members_of_several_words(spark):
+    seqs = spark.createDataFrame([(0, ["Disk Full", "server"], True), (1, ["full disk", "server"], True), (2, ["server"], True)], "pos bigint, sequence array<string>, is_sufficient boolean")
+    texts = spark.createDataFrame([(1, "the disk full on server"), (2, "server disk\nfull disk full"), (3, "disk and full server")], "row_id bigint, text string")
+    tokens = texts.select("row_id", F.split("text", "\\s").alias("tokens"))
+    got = sorted(map(tuple, matching.match_sequences_all(tokens, seqs, ["row_id"]).collect()))
+    assert got == [(1, 0), (1, 2), (2, 0), (2, 1), (2, 2), (3, 2)]
+    got = sorted(map(tuple, matching.match_sequences_ordered(texts, seqs, ["row_id"]).collect()))
+    assert got == [(1, 0), (1, 2), (2, 2), (3, 2)]
+
+
+def test_keywords_without_a_word_character(spark):
+    words = spark.createDataFrame([(0, "++"), (1, "c++"), (2, "server"), (3, "é!")], "pos bigint, keyword string")
+    texts = spark.createDataFrame([(1, "C++ server"), (2, "a+b"), (3, None), (4, "É! +++")], "row_id bigint, text string")
+    assert sorted(map(tuple, matching.match_substrings(texts, words, ["row_id"]).collect())) == [(1, 0), (1, 1), (1, 2), (4, 0), (4, 3)]

@@ -136,3 +136,33 @@ def test_sentiment_and_sections(spark):
     two = spark.createDataFrame([("a", "s0", 9, "zero")], "section string, source string, item bigint, text string")
     lines = documents.compose_sections(template, [one, two]).orderBy("pos", "part", "source", "item").collect()
     assert [r.line for r in lines] == ["# A", "zero", "one", "two", "# B"]
+
+
+def test_only_one_whole_json_object_is_a_reply(spark):
+    good = json.dumps({"results": "a", "metrics": {"num_retrieved": 1}})
+    bad = [good + " That is all.", good + good, f"{good}, {good}", good.replace('"', "'"), "", "{}x"]
+    assert all(r.results == records.BAD_RETRIEVAL for r in parsed(spark, bad, records.parse_retrieval))
+    assert all(r.content == records.BAD_DOCUMENT for r in parsed(spark, bad, records.parse_documents))
+
+
+def test_an_odd_field_does_not_spoil_the_record(spark):
+    rows = parsed(spark, [json.dumps({"results": "kept", "metrics": {"num_retrieved": "two", "error_message": "e"}}), json.dumps({"results": 7})], records.parse_retrieval)
+    assert [(r.results, r.num_retrieved, r.error_message) for r in rows] == [("kept", 0, "e"), ("7", 0, None)]
+
+
+def test_a_size_sent_as_text_is_no_size(spark):
+    raws = [json.dumps({"content": 'says "file_size": "9"', "metrics": {"file_size": size}}) for size in (277362, "277362", None)]
+    rows = records.parse_documents(spark.createDataFrame(list(enumerate(raws)), "i int, raw string")).orderBy("i")
+    report = [r[0] for r in rows.select(records.document_report(F.col("content"), F.col("metrics"), F.lit("then"))).collect()]
+    for text, want in zip(report, ("270.86 KB", "Invalid Size Data", "N/A")):
+        assert f"- Size: {want}" in text.split("\n")
+
+
+def test_annotations_of_one_long_document(spark):
+    """Both window frames only grow; a frame that shrank would take minutes here."""
+    n = 60_000
+    df = spark.range(n).select(
+        F.lit(1).alias("doc_id"), F.col("id").alias("pos"), F.col("id").alias("start"), (F.col("id") + 1).alias("end"),
+        F.lit("w").alias("text"), F.when(F.col("id") % 3 == 0, "ORG").otherwise("NOUN_CHUNK").alias("type"),
+    )
+    assert documents.merge_annotations(df).count() == n

@@ -94,6 +94,27 @@ def test_stream_equals_batch_and_repeats_add_nothing(spark, tmp_path):
     df.filter("doc_id >= 6").coalesce(1).write.mode("append").parquet(folder)
     ingest.watch(spark, folder, store, marks, 16).awaitTermination()
     ingest.ingest(df, store, 16)
-    want = {r.text: r.embedding for r in ingest.new_vectors(df, None, 16).collect()}
+    want = {(r.vec_id, r.text): r.embedding for r in ingest.new_vectors(df, None, 16).collect()}
     got = vectors.read_store(spark, store).collect()
-    assert len(got) == len(want) == 12 and {r.text: r.embedding for r in got} == want
+    assert len(got) == len(want) == 12 and {(r.vec_id, r.text): r.embedding for r in got} == want
+
+
+def test_each_document_keeps_its_own_vector(spark):
+    batch = spark.createDataFrame([(1, "alpha server"), (1, "printer reset"), (2, "alpha server"), (2, "alpha server")], "doc_id bigint, text string")
+    rows = {(r.vec_id, r.text): r.embedding for r in ingest.new_vectors(batch, None, 16).collect()}
+    alone = {t: ingest.new_vectors(batch.filter(F.col("text") == t).limit(1), None, 16).first().embedding for t in ("alpha server", "printer reset")}
+    assert rows == {(1, "alpha server"): alone["alpha server"], (1, "printer reset"): alone["printer reset"], (2, "alpha server"): alone["alpha server"]}
+
+
+def test_vectors_of_another_length_are_refused(spark, tmp_path):
+    _, _, first = sample(spark, n=3)
+    _, _, wide = sample(spark, n=2, d=6)
+    path = str(tmp_path / "store")
+    with pytest.raises(ValueError, match="2 of the new vectors"):
+        vectors.append_vectors(stamped(first.unionByName(wide)), path, 4)
+    assert vectors.read_store(spark, path) is None
+
+
+def test_hashing_needs_no_exchange(spark):
+    tokens = spark.createDataFrame([(1, ["aa"])], "doc_id bigint, tokens array<string>")
+    assert "Exchange" not in vectors.hash_embed(tokens, "doc_id")._jdf.queryExecution().executedPlan().toString()

@@ -124,13 +124,14 @@ def merge_annotations(annotations: DataFrame) -> DataFrame:
 
     ``annotations(doc_id, pos, start, end, text, type)``, spans half open. Of the
     entities that begin no later, the furthest end decides; of those that begin no
-    earlier, the nearest begin. Two ordered windows replace a span join.
+    earlier, the nearest begin. Two ordered windows replace a span join; each frame only grows, so both are linear.
     """
     entity = F.col("type").isin(*ENTITY_TYPES)
     spans = annotations.filter(entity | (F.col("type") == CHUNK))
     by_start = Window.partitionBy("doc_id").orderBy("start")
     reach = F.max(F.when(entity, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
-    next_up = F.min(F.when(entity, F.col("start"))).over(by_start.rangeBetween(0, Window.unboundedFollowing))
+    from_end = Window.partitionBy("doc_id").orderBy(F.desc("start"))
+    next_up = F.min(F.when(entity, F.col("start"))).over(from_end.rangeBetween(Window.unboundedPreceding, 0))
     touched = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(next_up < F.col("end"), F.lit(False))
     return spans.withColumn("_touched", touched).filter(entity | ~F.col("_touched")).select(
         "doc_id", F.when(entity, 0).otherwise(1).alias("grp"), "pos", F.lower("text").alias("text"), "type"

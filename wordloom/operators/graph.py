@@ -200,7 +200,7 @@ def sample_nodes(nodes: DataFrame, n: int = 500, seed: str = "0") -> DataFrame:
     return nodes.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected component of each node, named by its lowest rank.
 
     Alternates the large-star and small-star steps (Kiveris et al., 2014): stars
@@ -222,7 +222,7 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> Data
 
     arcs = stage(edges.select("category", F.col("rb").alias("u"), F.col("ra").alias("v")), "arcs")
     mark = None
-    for _ in range(max_rounds):
+    while True:
         arcs = stage(step(step(arcs, "large"), "small"), "arcs")
         row = arcs.agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("category", "u", "v")).alias("h")
@@ -230,8 +230,6 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> Data
         if (row.n, row.h) == mark:
             break
         mark = (row.n, row.h)
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     root = arcs.groupBy("category", F.col("u").alias("rank")).agg(F.min("v").alias("root"))
     return nodes.join(root, ["category", "rank"], "left").select(
         "category", "term", "rank", F.coalesce("root", "rank").alias("component")

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.text import rows_of, word_runs
+from wordloom.functions.text import WORD, rows_of, word_runs
 from wordloom.session import stage
 
 
@@ -42,6 +42,16 @@ def _lower(sequences: DataFrame) -> DataFrame:
     return sequences.withColumn("sequence", F.transform("sequence", lambda w: F.lower(w)))
 
 
+def _in_words(sequences: DataFrame) -> DataFrame:
+    """Sequences as lists of single words; ``_phrases`` holds the members of several, ``_members`` all as they were."""
+    return sequences.select(
+        *[c for c in sequences.columns if c != "sequence"],
+        F.flatten(F.transform("sequence", lambda m: F.split(m, " "))).alias("sequence"),
+        F.filter("sequence", lambda m: F.contains(m, F.lit(" "))).alias("_phrases"),
+        F.col("sequence").alias("_members"),
+    )
+
+
 def _anchored(held: DataFrame, sequences: DataFrame, on: Sequence[str]) -> DataFrame:
     """Pairs of a row of ``held(.., on, _words)`` and a sequence that may match it.
 
@@ -49,21 +59,25 @@ def _anchored(held: DataFrame, sequences: DataFrame, on: Sequence[str]) -> DataF
     many sequences, or found in many texts, does not multiply the pairs. Equal
     sequences are tried once; ``_poss`` lists where they stand in the network.
     """
-    distinct = sequences.groupBy(*on, "sequence").agg(F.collect_list("pos").alias("_poss"))
+    own = [*on, "sequence", "_phrases", "_members"]
+    distinct = sequences.groupBy(*own).agg(F.collect_list("pos").alias("_poss"))
     rows = held.select("*", F.explode("_words").alias("_w"))
     frequency = rows.groupBy(*on, "_w").agg(F.count(F.lit(1)).alias("_n"))
     anchors = (
-        distinct.select(*on, "sequence", "_poss", F.explode(F.array_distinct("sequence")).alias("_w"))
+        distinct.select(*own, "_poss", F.explode(F.array_distinct("sequence")).alias("_w"))
         .join(frequency, [*on, "_w"], "left")
-        .groupBy(*on, "sequence", "_poss")
+        .groupBy(*own, "_poss")
         .agg(F.min_by("_w", F.struct(F.coalesce("_n", F.lit(0)), "_w")).alias("_w"))
     )
     return rows.join(anchors, [*on, "_w"])
 
 
 def match_sequences_all(tokens: DataFrame, sequences: DataFrame, key: Sequence[str], on: Sequence[str] = ()) -> DataFrame:
-    """Sequences all of whose words occur, in any order and case: (key, on, pos)."""
-    sequences = _lower(sequences)
+    """Sequences all of whose members occur, in any order and case: (key, on, pos).
+
+    A member of several words must stand as such in the cleaned text, which is looked at only where all words are.
+    """
+    sequences = _in_words(_lower(sequences))
     wanted = sequences.select(*on, F.explode("sequence").alias("_w")).distinct()
     held = stage(
         rows_of(tokens, [*key, *on], F.array_distinct("tokens"), "_w")
@@ -72,10 +86,13 @@ def match_sequences_all(tokens: DataFrame, sequences: DataFrame, key: Sequence[s
         .agg(F.collect_list("_w").alias("_words")),
         "held-words",
     )
-    return (
-        _anchored(held, sequences, on)
-        .filter(F.size(F.array_except("sequence", "_words")) == 0)
-        .select(*key, *on, F.explode("_poss").alias("pos"))
+    met = _anchored(held, sequences, on).filter(F.size(F.array_except("sequence", "_words")) == 0)
+    single = met.filter(F.size("_phrases") == 0)
+    several = met.filter(F.size("_phrases") > 0).join(
+        tokens.select(*key, *on, F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")).alias("_t")), [*key, *on]
+    ).filter(F.forall("_phrases", lambda p: F.contains(F.col("_t"), F.concat(F.lit(" "), p, F.lit(" ")))))
+    return single.select(*key, *on, "_poss").unionByName(several.select(*key, *on, "_poss")).select(
+        *key, *on, F.explode("_poss").alias("pos")
     )
 
 
@@ -102,9 +119,17 @@ def match_substrings(
     the three-letter parts of the runs, and the few pairs that meet are checked.
     Texts then meet keywords through their runs. Of a keyword with other
     characters its longest run is looked for, and the text itself is checked.
-    Every keyword holds at least one word character. ``runs`` takes counted runs
-    that are at hand already.
+    A keyword without a word character is looked for in the texts that hold its
+    first character. ``runs`` takes counted runs that are at hand already.
     """
+    bare = keywords.withColumn("_kw", F.lower("keyword")).filter(F.size(word_runs(F.col("keyword"))) == 0)
+    signs = rows_of(texts, key, F.array_distinct(F.split(F.regexp_replace(F.lower("text"), f"[{WORD}]+", ""), "")), "_c")
+    odd = (
+        bare.select("pos", "_kw", F.substring("_kw", 1, 1).alias("_c")).filter("_kw <> ''").join(signs, "_c")
+        .join(texts.select(*key, F.lower("text").alias("_t")), list(key))
+        .filter(F.col("_t").contains(F.col("_kw"))).select(*key, "pos")
+    )
+    keywords = keywords.filter(F.size(word_runs(F.col("keyword"))) > 0)
     low = F.lower("keyword")
     pieces = word_runs(F.col("keyword"))
     longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
@@ -130,7 +155,7 @@ def match_substrings(
         .filter(F.col("_t").contains(F.col("_kw")))
         .select(*key, "pos")
     )
-    return whole.unionByName(partly)
+    return whole.unionByName(partly).unionByName(odd)
 
 
 def match_sequences_ordered(texts: DataFrame, sequences: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -138,9 +163,10 @@ def match_sequences_ordered(texts: DataFrame, sequences: DataFrame, key: Sequenc
 
     Words are word-character runs. Of each line only the words of sequences are
     kept, in order; walking them, every word that is the next one wanted moves the
-    sequence on by one.
+    sequence on by one. Where members have several words, these must follow each
+    other in the line: lines that hold all words are read again for the members.
     """
-    sequences = _lower(sequences)
+    sequences = _in_words(_lower(sequences))
     wanted = sequences.select(F.explode("sequence").alias("_w")).distinct()
     lines = rows_of(texts, key, F.split(F.col("text"), "\n"), "_line", "_text")
     held = stage(
@@ -154,12 +180,15 @@ def match_sequences_ordered(texts: DataFrame, sequences: DataFrame, key: Sequenc
     walk = F.aggregate(
         "_seen", F.lit(0), lambda i, w: F.when(F.get("sequence", i) == w, i + 1).otherwise(i)
     )
-    return (
-        _anchored(held, sequences, [])
-        .filter((F.size(F.array_except("sequence", "_words")) == 0) & (walk == F.size("sequence")))
-        .select(*key, F.explode("_poss").alias("pos"))
-        .distinct()
+    met = _anchored(held, sequences, []).filter((F.size(F.array_except("sequence", "_words")) == 0) & (walk == F.size("sequence")))
+    single = met.filter(F.size("_phrases") == 0).select(*key, "_poss")
+    spaced = lines.select(*key, "_line", F.array_join(word_runs(F.col("_text")), "  ").alias("_t"))
+    pattern = F.array_join(F.transform("_members", lambda m: F.concat(F.lit(" "), F.replace(m, F.lit(" "), F.lit("  ")), F.lit(" "))), ".*")
+    several = (
+        met.filter(F.size("_phrases") > 0).join(spaced, [*key, "_line"])
+        .filter(F.rlike(F.concat(F.lit(" "), "_t", F.lit(" ")), pattern)).select(*key, "_poss")
     )
+    return single.unionByName(several).select(*key, F.explode("_poss").alias("pos")).distinct()
 
 
 def match_counts(keyword_hits: DataFrame, sequence_hits: DataFrame, keywords: DataFrame,

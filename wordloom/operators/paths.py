@@ -101,7 +101,7 @@ def sub_sequences(path: Column) -> Column:
     )
 
 
-def shortest_paths(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def shortest_paths(edges: DataFrame) -> DataFrame:
     """Cheapest path between each two connected nodes, weights taken as costs.
 
     One row per pair with the lower rank first: (category, source, target, path,
@@ -116,7 +116,7 @@ def shortest_paths(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
                      F.lit(0.0).alias("cost"), F.lit(True).alias("fresh")),
         "best",
     )
-    for _ in range(max_rounds):
+    while True:
         longer = (
             best.filter("fresh")
             .withColumn("tail", F.col("rt"))
@@ -138,8 +138,6 @@ def shortest_paths(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         )
         if best.filter("fresh").isEmpty():
             break
-    else:
-        raise RuntimeError(f"shortest paths did not settle in {max_rounds} rounds")
     return best.filter("rs < rt").select(
         "category", F.get("path", F.lit(0)).alias("source"), F.element_at("path", -1).alias("target"), "path", "cost"
     )

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.text import ALPHANUMERIC, once, rows_of
 from wordloom.operators.ranking import number_rows
-from wordloom.session import spread
 
 VOCABULARY_CAP = 1000
 MIN_SCORE = 0.2
@@ -23,7 +22,7 @@ MIN_SCORE = 0.2
 
 def tokens_of(corpus: DataFrame, cleaner, keep_empty: bool = False) -> DataFrame:
     """Corpus rows with their tokens; documents without any are dropped unless asked for."""
-    out = spread(corpus).select("category", "doc_id", once(cleaner(F.col("text"))).alias("tokens"))
+    out = corpus.select("category", "doc_id", once(cleaner(F.col("text"))).alias("tokens"))
     return out if keep_empty else out.filter(F.size("tokens") > 0)
 
 

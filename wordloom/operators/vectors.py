@@ -8,39 +8,33 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wordloom.functions.text import once
+from wordloom.session import stage
+
 TOP_K = 5
 QUERY_BLOCK = 1024
 ROWS_PER_TASK = 100_000
 NOTHING_FOUND = "No relevant information found for the query."
 
 
-def hash_buckets(tokens: DataFrame, id_col: str, dim: int) -> DataFrame:
-    """(id, dim_no, value): feature hashing of tokens, L2-normalised, non-zero entries only."""
-    bucket = F.pmod(F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
-    counts = (
-        tokens.select(id_col, F.explode("tokens").alias("term"))
-        .groupBy(id_col, bucket.alias("dim_no"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    norm = F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy(id_col)))
-    return counts.select(id_col, "dim_no", (F.col("n") / norm).alias("value"))
+def embed_rows(rows: DataFrame, dim: int = 64) -> DataFrame:
+    """The rows with ``embedding`` in place of ``tokens``: feature hashing, L2-normalised, within the row.
+
+    A row without tokens has no vector and is left out.
+    """
+    others = [c for c in rows.columns if c != "tokens"]
+    bucket = lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
+    hashed = rows.filter(F.size("tokens") > 0).select(*others, once(F.transform("tokens", bucket)).alias("_b"))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter("_b", lambda b: b == i)))
+    counted = hashed.select(*others, once(counts).alias("_n"))
+    norm = F.sqrt(F.aggregate("_n", F.lit(0).cast("bigint"), lambda s, n: s + n * n))
+    with_norm = counted.select(*others, "_n", once(norm).alias("_norm"))
+    return with_norm.select(*others, F.transform("_n", lambda n: (n / F.col("_norm")).cast("float")).alias("embedding"))
 
 
 def hash_embed(tokens: DataFrame, id_col: str, dim: int = 64) -> DataFrame:
     """(id, embedding array<float>) of fixed length; a text without tokens has no row."""
-    entries = F.map_from_entries(F.collect_list(F.struct("dim_no", "value")))
-    return (
-        hash_buckets(tokens, id_col, dim)
-        .groupBy(id_col)
-        .agg(entries.alias("m"))
-        .select(
-            id_col,
-            F.transform(
-                F.sequence(F.lit(0), F.lit(dim - 1)),
-                lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)).cast("float"),
-            ).alias("embedding"),
-        )
-    )
+    return embed_rows(tokens.select(id_col, "tokens"), dim)
 
 
 def embed_gate(records: DataFrame) -> DataFrame:
@@ -61,8 +55,10 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
     """Rows of the newest version of the store, or None if there is no store yet."""
     try:
         everything = spark.read.schema(STORE_SCHEMA).parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     newest = everything.agg(F.max("version")).first()[0]
     return None if newest is None else everything.filter(F.col("version") == newest)
 
@@ -71,16 +67,19 @@ def append_vectors(rows: DataFrame, path: str, dim: int) -> int:
     """Append ``rows(vec_id, text, embedding, ingested_at, content_hash)``; returns the version written.
 
     If the stored vectors have another length, a new version is begun instead;
-    the old files stay.
+    the old files stay. Rows whose vector is missing or not ``dim`` long are an error, and nothing is written.
     """
+    rows = stage(rows, "new-vectors")
+    other = rows.filter(F.coalesce(F.size("embedding"), F.lit(-1)) != dim).count()
+    if other:
+        raise ValueError(f"{other} of the new vectors are not {dim} long")
     store = read_store(rows.sparkSession, path)
     version = 1
     if store is not None:
         old = store.select("version", F.size("embedding").alias("d")).first()
         version = old.version if old.d == dim else old.version + 1
     (
-        rows.filter(F.size("embedding") == dim)
-        .withColumn("version", F.lit(version))
+        rows.withColumn("version", F.lit(version))
         .write.mode("append").partitionBy("version").parquet(path)
     )
     return version
@@ -182,6 +181,9 @@ def knn(queries: DataFrame, store: DataFrame, k: int = TOP_K, dim: int | None =
 
 
 def hit_texts(hits: DataFrame, store: DataFrame) -> DataFrame:
+    """The hits with their texts. They are written first: then their size is known, and few hits are sent to the
+    store's scan instead of shuffling the store."""
+    hits = stage(hits, "hits")
     return hits.join(store.select("vec_id", "text"), "vec_id")
 
 

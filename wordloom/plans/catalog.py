@@ -34,12 +34,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return readers.labelled_corpus(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return readers.labelled_corpus(spread(table(spark, sf, "documents").select("doc_id", "text")), table(spark, sf, "labels"))
 
 
 def whole_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Both categories united."""
-    return table(spark, sf, "documents").select("doc_id", F.lit("all").alias("category"), "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.lit("all").alias("category"), "text")
 
 
 def first_line(text: Column) -> Column:
@@ -162,7 +162,7 @@ def image_payloads(spark, sf):
 
 def validation_rows(spark, sf) -> DataFrame:
     """(row_id, category, short, description, text): the two text columns joined."""
-    return spread(corpus(spark, sf)).select(
+    return corpus(spark, sf).select(
         F.col("doc_id").alias("row_id"), "category", first_line(F.col("text")).alias("short"),
         F.col("text").alias("description"),
     ).withColumn("text", join_texts(F.col("short"), F.col("description")))
@@ -553,8 +553,7 @@ def sentiment_label(spark, sf):
 
 def _document_vectors(spark, sf) -> DataFrame:
     docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text"))
-    tokens = docs.select("vec_id", once(clean_tokens(F.col("text"))).alias("tokens"))
-    return docs.join(vectors.hash_embed(tokens, "vec_id", DIM), "vec_id")
+    return vectors.embed_rows(docs.select("vec_id", "text", once(clean_tokens(F.col("text"))).alias("tokens")), DIM)
 
 
 def _questions(spark, sf) -> DataFrame:
@@ -566,7 +565,7 @@ def _questions(spark, sf) -> DataFrame:
 
 
 def _asked(questions: DataFrame) -> DataFrame:
-    return questions.join(vectors.hash_embed(questions.select("query_id", "tokens"), "query_id", DIM), "query_id")
+    return vectors.embed_rows(questions, DIM)
 
 
 @query

@@ -29,13 +29,14 @@ def build_session(app: str = "wordloom", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    master may fall back to a folder of its own, removed when Python exits.
+    It is the one the cluster names in ``spark.checkpoint.dir``; a ``file:`` folder is taken only with a local
+    master, which may also fall back to a folder of its own, removed when Python exits.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
+    local = spark.sparkContext.master.startswith("local")
+    if named and (local or not named.startswith("file:")):
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the executors")
     if not _local_dirs:
         _local_dirs.append(tempfile.TemporaryDirectory(prefix="wordloom-"))
@@ -47,9 +48,9 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores if the input came in fewer splits than there are cores.
+    """A scan's rows over all cores if the files came in fewer splits than there are cores.
 
-    Large inputs have many splits and pass unchanged; the check reads the plan only.
+    For scans alone, before any join: then counting the splits starts no job. Large inputs pass unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -7,22 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.functions.text import clean_transcript
-from wordloom.operators.vectors import append_vectors, hash_embed, read_store
+from wordloom.operators.vectors import append_vectors, embed_rows, read_store
 
 INPUT_SCHEMA = "doc_id bigint, text string"
 
 
 def new_vectors(batch: DataFrame, store: DataFrame | None, dim: int) -> DataFrame:
-    """Vectors of the texts of a batch that the store lacks, one per distinct content."""
+    """Vectors of the documents of a batch that the store lacks, one per document and content."""
     cleaned = batch.select("doc_id", "text", clean_transcript(F.col("text")).alias("clean"))
     hashed = cleaned.filter(F.col("clean") != "").withColumn("content_hash", F.sha2("text", 256))
     if store is not None:
-        hashed = hashed.join(store.select("content_hash"), "content_hash", "left_anti")
-    one = hashed.groupBy("content_hash").agg(F.min(F.struct("doc_id", "text", "clean")).alias("d")).select(
-        "content_hash", "d.*"
-    )
-    tokens = one.select("doc_id", F.split("clean", " ").alias("tokens"))
-    return one.join(hash_embed(tokens, "doc_id", dim), "doc_id").select(
+        held = store.select(F.col("vec_id").alias("doc_id"), "content_hash")
+        hashed = hashed.join(held, ["doc_id", "content_hash"], "left_anti")
+    one = hashed.groupBy("doc_id", "content_hash").agg(F.min(F.struct("text", "clean")).alias("d"))
+    tokens = one.select("doc_id", "content_hash", "d.text", F.split("d.clean", " ").alias("tokens"))
+    return embed_rows(tokens, dim).select(
         F.col("doc_id").alias("vec_id"), "text", "embedding",
         F.current_timestamp().alias("ingested_at"), "content_hash",
     )
