@@ -25,6 +25,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -215,32 +216,61 @@ def may_link(threshold: Threshold):
     return run
 
 
-def compare_cell(threshold: Threshold):
-    """Pairs of two blocks of a list, not connected, near in size and with bitmaps near enough."""
+def near_rows(table: pa.Table, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of rows of a cell that may link; rows of a cell stand together.
 
-    def run(table: pa.Table) -> pa.Table:
+    Row i meets row i + step for every step at once over all cells; bitmaps are compared word by word, for as long as
+    a pair's bound lasts.
+    """
+    cell = table.column("cell_id").to_numpy()
+    n, side = (table.column(c).to_numpy().astype(np.int64) for c in ("n", "side"))
+    place = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(n), -1)
+    within = table.column("kind").to_numpy() == 1
+    left, found_a, found_b = np.arange(len(n)), [], []
+    step = 0
+    while len(left):
+        step += 1
+        left = left[left < len(n) - step]
+        left = left[cell[left] == cell[left + step]]
+        a, b = left, left + step
+        meet = (within[a] | (side[a] != side[b])) & (place[a] != place[b])
+        meet &= np.minimum(n[a], n[b]) * threshold.under >= np.maximum(n[a], n[b]) * threshold.over
+        a, b = a[meet], b[meet]
+        room = n[a] + n[b] - 2 * threshold.shared(n[a], n[b])
+        for word in range(bits.shape[1]):
+            room = room - np.bitwise_count(bits[a, word] ^ bits[b, word])
+            lasts = room >= 0
+            a, b, room = a[lasts], b[lasts], room[lasts]
+        found_a.append(a)
+        found_b.append(b)
+    return tuple(np.concatenate([*x, np.zeros(0, np.int64)]) for x in (found_a, found_b))
+
+
+def compare_cells(threshold: Threshold):
+    """Pairs (a, b) that may link, from rows sorted by cell; what is held is a batch and one cell, of bounded size."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        a, b = near_rows(table, threshold)
         ids = table.column("id").combine_chunks()
-        n, side = (table.column(c).to_numpy().astype(np.int64) for c in ("n", "side"))
-        place = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(n), -1)
-        within = table.column("cell")[0].as_py()["kind"] == 1
-        firsts = np.arange(len(n)) if within else np.flatnonzero(side == 1)
-        found_a, found_b = [], []
-        for start in range(0, len(firsts), 32):
-            a = firsts[start : start + 32, None]
-            b = np.arange(len(n))[None, :] if within else np.flatnonzero(side == 0)[None, :]
-            apart = np.zeros((len(a), b.shape[1]), np.int64)
-            for word in range(bits.shape[1]):
-                apart += np.bitwise_count(bits[a, word] ^ bits[b, word])
-            near = (n[a] + n[b] - apart) // 2 >= threshold.shared(n[a], n[b])
-            near &= (np.minimum(n[a], n[b]) * threshold.under >= np.maximum(n[a], n[b]) * threshold.over) & (place[a] != place[b])
-            if within:
-                near &= a < b
-            x, y = np.nonzero(near)
-            found_a.append(a[x, 0])
-            found_b.append(b[0, y])
-        a, b = (ids.take(pa.array(np.concatenate([*x, np.zeros(0, np.int64)]))) for x in (found_a, found_b))
-        return pa.table({"a": a, "b": b})
+        x, y = ids.take(pa.array(a)), ids.take(pa.array(b))
+        first = pc.less(x, y)
+        return pa.RecordBatch.from_arrays([pc.if_else(first, x, y), pc.if_else(first, y, x)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            cell = held.column("cell_id").to_numpy()
+            whole = int(np.searchsorted(cell, cell[-1]))
+            if whole:
+                yield pairs(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None:
+            yield pairs(held)
 
     return run
 
@@ -348,30 +378,35 @@ class Join:
         return met.select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
 
     def join_rest(self) -> DataFrame:
-        """Pairs of a list that may link and are not connected yet.
+        """Pairs of a list that may link and are not connected yet; those with the hub have been compared.
 
         A list has two sides: what is connected to its hub, and the rest. Blocks of the rest meet all blocks, blocks
         of the first side never meet each other; a block has about BLOCK members, two of them make a cell.
         """
         mains = self.entries.groupBy("key").agg(
-            F.min(F.struct("id", "component"))["component"].alias("main"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter("low <> high")
-        sided = self.entries.join(mains.select("key", "main"), "key").withColumn("side", (F.col("component") != F.col("main")).cast("int"))
-        sided = stage(sided.join(self.reps.select("id", "bits").dropDuplicates(["id", "bits"]), "id"), "sided")
+            F.min(F.struct("id", "component")).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("length"),
+        ).filter("low <> high and length > 2")
+        sided = self.entries.join(mains.select("key", "hub"), "key").filter(F.col("id") != F.col("hub.id")).select(
+            "key", "id", "n", "component", (F.col("component") != F.col("hub.component")).cast("int").alias("side")
+        )
+        sided = stage(sided, "sided")
         blocks = sided.groupBy("key").agg(*[
             F.ceil(F.sum(F.when(F.col("side") == side, 1).otherwise(0)) / BLOCK).cast("int").alias(f"blocks{side}") for side in (0, 1)
-        ])
+        ]).filter("blocks1 > 0")
         own = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.col("blocks1"))).cast("int")
         placed = sided.join(blocks, "key").withColumn("block", own)
-        numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        numbers = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
         cross = F.transform(numbers("blocks1"), lambda k: F.struct(F.lit(0).alias("kind"), k.alias("i"), F.col("block").alias("j")))
         across = F.transform(numbers("blocks0"), lambda k: F.struct(F.lit(0).alias("kind"), F.col("block").alias("i"), k.alias("j")))
         inside = F.transform(
             numbers("blocks1"), lambda k: F.struct(F.lit(1).alias("kind"), F.least("block", k).alias("i"), F.greatest("block", k).alias("j"))
         )
         cells = placed.withColumn("cell", F.explode(F.when(F.col("side") == 0, cross).otherwise(F.concat(across, inside))))
-        return cells.select("key", "cell", "id", "n", "component", "side", "bits").groupBy("key", "cell").applyInArrow(
-            compare_cell(self.threshold), f"a {self.kind}, b {self.kind}"
+        cells = cells.select(F.xxhash64("key", "cell").alias("cell_id"), F.col("cell.kind").alias("kind"), "id", "n", "component", "side")
+        cells = cells.join(self.reps.select("id", "bits").dropDuplicates(["id", "bits"]), "id")
+        return cells.repartition("cell_id").sortWithinPartitions("cell_id").mapInArrow(
+            compare_cells(self.threshold), f"a {self.kind}, b {self.kind}"
         ).distinct()
 
     def relabel(self, found: DataFrame) -> None:
