@@ -14,7 +14,6 @@ from wordloom.session import stage
 MIN_WEIGHT = 7.0
 MIN_SIZE = 3
 ROUNDS = 2
-EDGE_CAP = 10_000
 
 EDGE = ["category", "a", "b", "ra", "rb", "w"]
 
@@ -62,7 +61,7 @@ def refine(
     edges: DataFrame,
     rounds: int = ROUNDS,
     min_weight: float = MIN_WEIGHT,
-    cap: int | None = EDGE_CAP,
+    cap: int | None = None,
 ) -> DataFrame:
     """Add transitive edges round by round, until a round adds none.
 
@@ -194,7 +193,7 @@ def path_sufficiency(
     ).drop("strong")
 
 
-def sample_nodes(nodes: DataFrame, n: int = 500, seed: str = "0") -> DataFrame:
+def sample_nodes(nodes: DataFrame, n: int, seed: str = "0") -> DataFrame:
     """At most n nodes per category, chosen by a seeded hash."""
     order = Window.partitionBy("category").orderBy(F.md5(F.concat(F.lit(seed), F.col("term"))), "term")
     return nodes.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.operators.graph import both_ways
+from wordloom.operators.ranking import number_rows
 from wordloom.session import stage
 
 MAX_EDGES = 3
-SEQUENCE_CAP = 500
 
 
 def _arcs(edges: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def simple_paths(
     sample: DataFrame,
     edges: DataFrame,
     max_edges: int = MAX_EDGES,
-    cap: int | None = SEQUENCE_CAP,
+    cap: int | None = None,
     distinct: bool = False,
     first_sources: int = 128,
 ) -> DataFrame:
@@ -38,8 +38,11 @@ def simple_paths(
     linked = sample.join(
         arcs.select("category", F.col("tail").alias("rank")).distinct(), ["category", "rank"], "left_semi"
     )
-    turn = Window.partitionBy("category").orderBy("rank")
-    sources = stage(linked.select("category", "term", "rank", F.row_number().over(turn).alias("turn")), "sources")
+    if cap is None:
+        linked = linked.withColumn("turn", F.lit(1))
+    else:
+        linked = number_rows(linked, ["category"], [F.asc("rank")], "turn")
+    sources = stage(linked.select("category", "term", "rank", "turn"), "sources")
     most = sources.agg(F.max("turn")).first()[0] or 0
 
     def grow(limit: int) -> DataFrame:
@@ -68,10 +71,12 @@ def simple_paths(
         )
 
     def cut(rows: DataFrame) -> DataFrame:
-        order = Window.partitionBy("category").orderBy(F.get("ranks", F.lit(0)), "max_len", "end", "ranks")
-        out = rows.withColumn("n", F.row_number().over(order).cast("bigint"))
-        if cap is not None:
-            out = out.filter(F.col("n") <= cap)
+        order = [F.get("ranks", F.lit(0)), F.col("max_len"), F.col("end"), F.col("ranks")]
+        if cap is None:
+            out = number_rows(rows, ["category"], order, "n")
+        else:
+            turn = F.row_number().over(Window.partitionBy("category").orderBy(*order))
+            out = rows.withColumn("n", turn.cast("bigint")).filter(F.col("n") <= cap)
         return out.select("category", "n", "max_len", "path", "ranks")
 
     if cap is None:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from wordloom.functions.text import ALPHANUMERIC, once, rows_of
 from wordloom.operators.ranking import number_rows
 
-VOCABULARY_CAP = 1000
 MIN_SCORE = 0.2
 
 
@@ -47,7 +46,7 @@ def term_statistics(tokens: DataFrame) -> DataFrame:
     )
 
 
-def top_terms(statistics: DataFrame, n: int = VOCABULARY_CAP) -> DataFrame:
+def top_terms(statistics: DataFrame, n: int) -> DataFrame:
     """The n terms with the largest total count per category, ties by term."""
     order = Window.partitionBy("category").orderBy(F.desc("total"), "term")
     return (

@@ -20,6 +20,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DIM = 64
+#: Limits that are the feature of the queries that name them: sampled nodes, first paths, vocabulary cap.
+SAMPLED_NODES = 500
+FIRST_PATHS = 500
+VOCABULARY = 1000
 EXTENSIONS = (".pdf", ".pptx", ".xlsx", ".docx", ".eml", ".vtt", ".txt", ".png", "")
 CLOCK_PREFIX = "00:01:02.500 12:34 um so, "
 
@@ -47,7 +51,13 @@ def first_line(text: Column) -> Column:
 
 
 def network(spark: SparkSession, sf: str) -> Network:
-    return build_network(corpus(spark, sf))
+    """All keywords and edges; the first paths between sampled nodes."""
+    return build_network(corpus(spark, sf), sample=SAMPLED_NODES, sequence_cap=FIRST_PATHS)
+
+
+def capped_graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The variant on a capped vocabulary with looser edges."""
+    return keyword_graph(corpus(spark, sf), VOCABULARY, 0.7)
 
 
 def text_of(value: Column, digits: int = 6) -> Column:
@@ -248,7 +258,7 @@ def keywords_union(spark, sf):
 
 @query
 def keywords_capped(spark, sf):
-    scores = tfidf.term_scores(corpus_weights(whole_corpus(spark, sf), keep_empty=True))
+    scores = tfidf.term_scores(corpus_weights(whole_corpus(spark, sf), VOCABULARY, keep_empty=True))
     return tfidf.rank_short_list(scores)
 
 
@@ -302,7 +312,7 @@ def node_sufficiency(spark, sf):
 @query
 def node_sample(spark, sf):
     ranked, _ = keyword_graph(corpus(spark, sf))
-    return graph.sample_nodes(ranked).select("category", "term", "rank")
+    return graph.sample_nodes(ranked, SAMPLED_NODES).select("category", "term", "rank")
 
 
 @query
@@ -313,7 +323,7 @@ def components(spark, sf):
 
 @query
 def maximal_cliques(spark, sf):
-    ranked, links = keyword_graph(corpus(spark, sf))
+    ranked, links = capped_graph(spark, sf)
     return cliques.maximal_cliques(ranked, links).select(
         "category", F.array_join(F.array_sort("members"), " ").alias("members"), "size"
     )
@@ -321,14 +331,14 @@ def maximal_cliques(spark, sf):
 
 @query
 def nested_keywords(spark, sf):
-    ranked, links = keyword_graph(corpus(spark, sf))
+    ranked, links = capped_graph(spark, sf)
     found = cliques.nested_keywords(cliques.maximal_cliques(ranked, links))
     return found.select("category", F.array_join("nest", " ").alias("nest"), "size")
 
 
 @query
 def shortest_paths(spark, sf):
-    _, links = keyword_graph(corpus(spark, sf))
+    _, links = capped_graph(spark, sf)
     return paths.shortest_paths(links).select(
         "category", "source", "target", F.array_join("path", " ").alias("path"), "cost"
     )
@@ -336,14 +346,14 @@ def shortest_paths(spark, sf):
 
 @query
 def nested_paths(spark, sf):
-    ranked, links = keyword_graph(corpus(spark, sf))
+    ranked, links = capped_graph(spark, sf)
     held = cliques.nested_paths(paths.shortest_paths(links), cliques.maximal_cliques(ranked, links))
     return held.select("category", F.array_join("path", " ").alias("path"), F.array_join("clique", " ").alias("clique"))
 
 
 def _sequences(spark, sf) -> DataFrame:
     ranked, links = keyword_graph(corpus(spark, sf))
-    return paths.simple_paths(graph.sample_nodes(ranked), links)
+    return paths.simple_paths(graph.sample_nodes(ranked, SAMPLED_NODES), links, cap=FIRST_PATHS)
 
 
 @query

@@ -13,6 +13,9 @@ from wordloom.operators.similarity import term_edges
 from wordloom.session import stage
 
 
+THRESHOLD = 0.9
+
+
 @dataclass(frozen=True)
 class Network:
     ranked: DataFrame  # (category, term, score, rank)
@@ -26,32 +29,35 @@ class Network:
         return self.keywords.withColumn("nested", F.col("nested.keyword"))
 
 
-def corpus_weights(corpus: DataFrame, cap: int | None = tfidf.VOCABULARY_CAP, keep_empty: bool = False) -> DataFrame:
-    """TF-IDF weights over the vocabulary of each category, cut to its most frequent terms."""
+def corpus_weights(corpus: DataFrame, cap: int | None = None, keep_empty: bool = False) -> DataFrame:
+    """TF-IDF weights over the vocabulary of each category; with a cap, over its most frequent terms only."""
     tokens = tfidf.tokens_of(corpus, clean_tokens, keep_empty)
     statistics = stage(tfidf.term_statistics(tokens), "statistics")
     vocabulary = tfidf.top_terms(statistics, cap) if cap else None
     return tfidf.tfidf(tokens, statistics, vocabulary)
 
 
-def keyword_graph(corpus: DataFrame, cap: int = tfidf.VOCABULARY_CAP, threshold: float = 0.7) -> tuple[DataFrame, DataFrame]:
-    """Ranked keywords and the edges between them."""
+def keyword_graph(corpus: DataFrame, cap: int | None = None, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Ranked keywords and the edges between them, over all keywords unless the caller caps the vocabulary."""
     weights = stage(corpus_weights(corpus, cap), "weights")
-    ranked = stage(
-        tfidf.rank_short_list(tfidf.filter_keywords(tfidf.term_scores(weights))), "keywords"
-    )
+    ranked = stage(tfidf.rank_terms(tfidf.filter_keywords(tfidf.term_scores(weights))), "keywords")
     return ranked, stage(term_edges(weights, ranked, threshold), "links")
 
 
 def build_network(
     corpus: DataFrame,
-    cap: int = tfidf.VOCABULARY_CAP,
-    threshold: float = 0.7,
+    cap: int | None = None,
+    threshold: float = THRESHOLD,
     rounds: int = graph.ROUNDS,
     min_weight: float = graph.MIN_WEIGHT,
-    sequence_cap: int = paths.SEQUENCE_CAP,
+    sample: int | None = None,
+    sequence_cap: int | None = None,
 ) -> Network:
-    """Keywords of ``corpus(doc_id, category, text)`` with their neighbours and paths."""
+    """Keywords of ``corpus(doc_id, category, text)`` with their neighbours and paths.
+
+    All keywords, edges and paths, unless the caller asks for a vocabulary cap, for paths between a sample of
+    the nodes, or for the first paths only.
+    """
     ranked, links = keyword_graph(corpus, cap, threshold)
     edges = graph.refine(links, rounds, min_weight)
     enough = graph.node_sufficiency(ranked, edges, min_weight=min_weight)
@@ -64,7 +70,8 @@ def build_network(
         ),
         "network-keywords",
     )
-    found = paths.simple_paths(graph.sample_nodes(ranked), edges, cap=sequence_cap).select(
+    ends = ranked if sample is None else graph.sample_nodes(ranked, sample)
+    found = paths.simple_paths(ends, edges, cap=sequence_cap).select(
         "category", F.col("n").alias("path_id"), "path", "ranks"
     )
     sequences = graph.path_sufficiency(found, edges, min_weight=min_weight).select(

@@ -139,7 +139,8 @@ def keyword_ctes(prefix: str, tokens: str, cap: int | None) -> None:
 
 
 keyword_ctes("t_", "full_tok", None)
-keyword_ctes("c_", "full_tok", 1000)
+keyword_ctes("c_", "full_tok", None)
+keyword_ctes("v_", "full_tok", 1000)
 CTES["all_full"] = "SELECT * FROM all_tok WHERE len(tokens) > 0"
 keyword_ctes("u_", "all_full", None)
 keyword_ctes("k_", "all_tok", 1000)
@@ -153,15 +154,20 @@ oracle("keywords_capped", RANKED + "k_scores")
 
 # --- graph -------------------------------------------------------------------------------------------
 
-CTES["columns_"] = (
-    "SELECT w.category, w.doc_id, w.term, k.rank, w.w / sqrt(sum(w.w * w.w) OVER (PARTITION BY w.category, w.term)) AS u "
-    "FROM c_weights w JOIN c_keywords k ON k.category = w.category AND k.term = w.term"
-)
-CTES["links"] = (
-    "SELECT x.category, x.term AS a, y.term AS b, x.rank AS ra, y.rank AS rb, round(round(sum(x.u * y.u), 10) * 10, 10) AS w "
-    "FROM columns_ x JOIN columns_ y ON x.category = y.category AND x.doc_id = y.doc_id AND x.rank < y.rank "
-    "GROUP BY ALL HAVING round(sum(x.u * y.u), 10) > 0.7"
-)
+def link_ctes(words: str, links: str, threshold: float) -> None:
+    CTES[f"{words}columns"] = (
+        "SELECT w.category, w.doc_id, w.term, k.rank, w.w / sqrt(sum(w.w * w.w) OVER (PARTITION BY w.category, w.term)) AS u "
+        f"FROM {words}weights w JOIN {words}keywords k ON k.category = w.category AND k.term = w.term"
+    )
+    CTES[links] = (
+        "SELECT x.category, x.term AS a, y.term AS b, x.rank AS ra, y.rank AS rb, round(round(sum(x.u * y.u), 10) * 10, 10) AS w "
+        f"FROM {words}columns x JOIN {words}columns y ON x.category = y.category AND x.doc_id = y.doc_id AND x.rank < y.rank "
+        f"GROUP BY ALL HAVING round(sum(x.u * y.u), 10) > {threshold}"
+    )
+
+
+link_ctes("c_", "links", 0.9)
+link_ctes("v_", "capped_links", 0.7)
 
 
 def two_way(edges: str) -> str:
@@ -194,7 +200,7 @@ def refine_ctes(prefix: str, rounds: int, cap: int | None) -> str:
 
 FREE = refine_ctes("free_", 3, None)
 CAPPED = refine_ctes("capped_", 2, 100)
-REFINED = refine_ctes("ref_", 2, 10_000)
+REFINED = refine_ctes("ref_", 2, None)
 SHOWN = "SELECT category, a, b, w FROM "
 oracle("term_edges", SHOWN + "links")
 oracle("refine_edges", SHOWN + FREE)
@@ -257,13 +263,14 @@ oracle(
     "GROUP BY k.category, k.term",
 )
 
-CTES["near"] = "SELECT category, rn, list(rp) AS peers FROM linked GROUP BY category, rn"
+CTES["capped_linked"] = two_way("capped_links")
+CTES["near"] = "SELECT category, rn, list(rp) AS peers FROM capped_linked GROUP BY category, rn"
 CTES["cliques_"] = (
-    "SELECT k.category, [k.term] AS members, k.rank AS last, coalesce(n.peers, []) AS common FROM c_keywords k "
+    "SELECT k.category, [k.term] AS members, k.rank AS last, coalesce(n.peers, []) AS common FROM v_keywords k "
     "LEFT JOIN near n ON n.category = k.category AND n.rn = k.rank UNION ALL -- recursive\n"
     "SELECT c.category, list_append(c.members, k.term), c.nx, list_intersect(c.common, n.peers) FROM "
     "(SELECT category, members, last, common, unnest(list_filter(common, lambda x: x > last)) AS nx FROM cliques_) c "
-    "JOIN near n ON n.category = c.category AND n.rn = c.nx JOIN c_keywords k ON k.category = c.category AND k.rank = c.nx"
+    "JOIN near n ON n.category = c.category AND n.rn = c.nx JOIN v_keywords k ON k.category = c.category AND k.rank = c.nx"
 )
 CTES["maximal"] = (
     "SELECT category, list_sort(members) AS members, len(members) AS size FROM cliques_ WHERE len(common) = 0"
@@ -280,13 +287,13 @@ oracle(
 )
 
 ROUNDS = 40
-CTES["best_0"] = "SELECT DISTINCT category, rn AS rs, rn AS rt, [node] AS path, CAST(0 AS DOUBLE) AS cost FROM linked"
+CTES["best_0"] = "SELECT DISTINCT category, rn AS rs, rn AS rt, [node] AS path, CAST(0 AS DOUBLE) AS cost FROM capped_linked"
 for _i in range(1, ROUNDS + 1):
     CTES[f"best_{_i}"] = (
         "SELECT category, rs, rt, m.path AS path, m.cost AS cost FROM (SELECT category, rs, rt, min({'cost': cost, 'path': path}) AS m FROM "
         f"(SELECT category, rs, rt, path, cost FROM best_{_i - 1} UNION ALL "
         "SELECT b.category, b.rs, l.rp, list_append(b.path, l.peer), round(b.cost + l.w, 10) "
-        f"FROM best_{_i - 1} b JOIN linked l ON l.category = b.category AND l.rn = b.rt WHERE NOT list_contains(b.path, l.peer)) "
+        f"FROM best_{_i - 1} b JOIN capped_linked l ON l.category = b.category AND l.rn = b.rt WHERE NOT list_contains(b.path, l.peer)) "
         "GROUP BY category, rs, rt)"
     )
 CTES["shortest"] = f"SELECT category, path, cost FROM best_{ROUNDS} WHERE rs < rt"
