@@ -84,5 +84,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_top_k": op10_top_k,
 }
 
-#: SQL twins, where SQL can express the operator.
-ORACLES: dict[str, str] = {}
+#: SQL twins, where SQL can express the operator. The other operators rest on hashes, vocabularies, trained models or
+#: packing searches that SQL lacks; their tests hold them against brute force or the tokenizers library.
+ORACLES: dict[str, str] = {
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE words AS MATERIALIZED (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+            ), lambda w: w <> '') AS w FROM documents
+        ), shingles AS MATERIALIZED (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s FROM words
+        ), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS MATERIALIZED (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS MATERIALIZED (
+            SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+        ), ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reach AS (SELECT x AS a, x AS b FROM ways UNION SELECT r.a, w.y FROM reach r JOIN ways w ON w.x = r.b)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id FROM documents d
+        LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id
+    """,
+    "op10_top_k": """
+        WITH whole AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), scored AS MATERIALIZED (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
+}
