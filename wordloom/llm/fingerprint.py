@@ -89,10 +89,10 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, distinct_shingles, next_doc_id.
 
     Null texts are empty, with an empty fingerprint; two empty ones have likeness 1. Null ids sort first, as one id. Of
-    several rows with one id the text with the least hash stands for the id as a next document; each row is
+    several rows with one id the least text stands for the id as a next document; each row is
     returned. A table of one id is its own next; an empty table gives no rows.
 
-    Whole texts cross the network once, by id; both uses of them read the same exchange.
+    Whole texts cross the network once, by id; both uses of them read the same exchange, so sketches are made after it.
     """
     rows = pick(docs, id, text).toDF("id", "text").select(
         "id", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key"), F.coalesce("text", F.lit("")).alias("text")
@@ -100,14 +100,13 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int
     links = stage(next_keys(rows.select("id", "key").distinct()), "next_keys")
     need = rows.groupBy("key").agg(F.max(F.floor(F.char_length("text") / 2)).cast("int").alias("need"))
     wanted = links.join(need, "key").select(F.col("key").alias("owner"), "next_key", "need")
-    told = rows.withColumn("sketch", sketch(F.col("text"), k, shingle))
-    first_of_id = F.lag(F.lit(1)).over(Window.partitionBy("key").orderBy(F.xxhash64("text"), "text")).isNull()
-    heads = told.withColumn("first", first_of_id).filter("first").join(wanted, F.col("key") == F.col("next_key"))
+    first_of_id = F.lag(F.lit(1)).over(Window.partitionBy("key").orderBy("text")).isNull()
+    heads = rows.withColumn("first", first_of_id).filter("first").join(wanted, F.col("key") == F.col("next_key"))
     heads = heads.select(
         F.col("owner").alias("key"), F.substring("text", F.lit(1), F.col("need")).alias("start"),
-        F.col("sketch").alias("next_sketch"), F.col("id").alias("next_id"),
+        sketch(F.col("text"), k, shingle).alias("next_sketch"), F.col("id").alias("next_id"),
     )
-    met = told.join(heads, "key")
+    met = rows.join(heads, "key").withColumn("sketch", sketch(F.col("text"), k, shingle))
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = met.select(
         "id", "next_id", F.char_length("text").cast("long").alias("n_chars"), "sketch", "next_sketch",
