@@ -1,5 +1,6 @@
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from wordloom.llm.langid import LETTER_BITS, Identifier, count_ngrams, keep_known, predict_languages, train_identifier
@@ -32,7 +33,7 @@ def code_of(gram):
 
 def as_dict(texts):
     found = {}
-    for group, code, n in zip(*(x.tolist() for x in count_ngrams(texts, __import__("numpy").arange(len(texts))))):
+    for group, code, n in zip(*(x.tolist() for x in count_ngrams(texts, np.arange(len(texts))))):
         found[group, code] = n
     return found
 

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def test_against_all_products(spark, seed, segment, chunk):
     rows += [(2000, None), (2002, []), (2004, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2006, [math.nan] * 6), (2008, [math.inf] + [0.0] * 5), (None, [1.0] * 6), (3000, [0.5, 0.5]), (3002, [0.25, 1.0]), (10, [0.0] * 6), (3000, [0.5, 0.5])]
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, id int, V string")
     got = sorted(map(tuple, exact_top_k(df, F.col("id") % 20 == 0, 5, segment=segment, chunk=chunk).collect()))
-    exact = [(i, v and [x if x is None else float(__import__("numpy").float32(x)) for x in v]) for i, v in rows]
+    exact = [(i, v and [x if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert got == brute(exact, lambda i: i % 20 == 0, 5)
 
 
@@ -42,7 +43,6 @@ def test_empty(spark):
 
 
 def test_blocks_below_the_threshold_are_not_scored(monkeypatch):
-    import numpy as np
 
     values = np.zeros((640, 4), np.int64)
     values[:, 0] = np.arange(640)
