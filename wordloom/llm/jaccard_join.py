@@ -339,32 +339,30 @@ class Join:
         run = list_sets(self.words, self.threshold, order, self.small)
         self.listed = stage(self.rows.mapInArrow(run, f"id {self.kind}, {LISTED}"), "sets_listed")
         known = self.listed.filter("n > 0 and id is not null")
-        self.classes = stage(known.groupBy("sign").agg(F.min("id").alias("id")), "set_classes")
-        self.reps = stage(
-            known.join(self.classes, ["sign", "id"]).select("id", "n", "sign", "bits", "keys").dropDuplicates(["id", "sign"]), "set_reps"
-        )
+        first = F.min_by(F.struct("n", "bits", "keys"), "id").alias("own")
+        self.reps = stage(known.groupBy("sign").agg(F.min("id").alias("id"), first).select("sign", "id", "own.*"), "set_reps")
         entries = self.reps.select("id", "n", F.explode("keys").alias("key"))
         shared = stage(entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").select("key"), "shared_keys")
         self.entries = stage(entries.join(shared, "key"), "shared_entries").withColumn("component", F.col("id"))
 
-    def read_sets(self) -> None:
-        """Shingles of the sets that share a key with another; ids are sifted by a table of at most 2**20 rows."""
-        ids = self.entries.select("id").distinct()
+    def read_sets(self, pairs: DataFrame) -> DataFrame:
+        """(id, shingles) of the sets in these pairs; the texts are sifted by a table of at most 2**20 rows, not moved."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sieve = ids.select(F.pmod(F.xxhash64("id"), F.lit(SIFT)).alias("h")).distinct()
         some = self.rows.filter("id is not null").withColumn("h", F.pmod(F.xxhash64("id"), F.lit(SIFT))).join(F.broadcast(sieve), "h", "left_semi")
-        sets = some.select("id", "text").mapInArrow(write_sets(self.words), f"id {self.kind}, shingles binary")
-        self.sets = stage(sets.join(ids, "id", "left_semi"), "sets")
+        return stage(some.select("id", "text").mapInArrow(write_sets(self.words), f"id {self.kind}, shingles binary"), "sets")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold: first by bitmap, then by their sets."""
+        """The pairs (a, b) that reach the threshold: first by bitmap, then by the sets of those that are left."""
         pairs = stage(pairs.select("a", "b").distinct(), "pairs")
         ab = f"a {self.kind}, b {self.kind}"
         for side in "ab":
             own = self.reps.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
             pairs = pairs.join(own, side)
-        pairs = stage(pairs.mapInArrow(may_link(self.threshold), ab).distinct(), "likely_pairs")
+        likely = pairs = stage(pairs.mapInArrow(may_link(self.threshold), ab).distinct(), "likely_pairs")
+        sets = self.read_sets(likely)
         for side in "ab":
-            pairs = pairs.join(self.sets.select(F.col("id").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
+            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
         return pairs.mapInArrow(do_link(self.threshold), ab).distinct()
 
     def near_size(self, n: str, m: str):
@@ -418,12 +416,11 @@ class Join:
     def run(self) -> DataFrame:
         """(id, n, component) of every row."""
         self.prepare()
-        self.read_sets()
         edges = stage(self.verify(self.join_hub()), "links")
         self.relabel(components(edges))
         edges = stage(edges.unionByName(self.verify(self.join_rest())), "links")
         found = components(edges)
-        named = self.classes.join(found, "id", "left").select("sign", F.coalesce("component", "id").alias("component"))
+        named = self.reps.select("sign", "id").join(found, "id", "left").select("sign", F.coalesce("component", "id").alias("component"))
         kept = self.listed.select("id", "n", "sign")
         linked = kept.filter("n > 0 and id is not null").join(named, "sign").select("id", "n", "component")
         alone = kept.filter("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
