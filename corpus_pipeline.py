@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.jaccard_join import keep_one
-from wordloom.llm.langid import keep_known, train_identifier
+from wordloom.llm.langid import keep_known, likeness_cuts, train_identifier
 from wordloom.llm.packing import pack_documents
 from wordloom.llm.quality import keep_good
 from wordloom.session import stage
 
-#: Texts of junk and of no language lie below; every text of a known language lies well above.
-LEAST_LIKENESS = 0.2
 LEAST_QUALITY = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that no language profile of the corpus resembles."""
-    return keep_known(docs, train_identifier(docs), LEAST_LIKENESS)
+    """Drops documents that no language profile of the corpus resembles as its own training texts of like length do."""
+    identifier = train_identifier(docs)
+    return keep_known(docs, identifier, likeness_cuts(docs, identifier))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,35 @@ def test_all_tokens_are_packed(steps):
 def test_run_is_the_stages(spark, steps):
     out = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, out.select("doc_id", "piece", "length").collect())) == sorted(map(tuple, steps[4].select("doc_id", "piece", "length").collect()))
+
+
+ITALIAN = (
+    "La città si trova sulle rive del fiume e ha una lunga storia che comincia con i romani. Oggi molti abitanti lavorano nelle fabbriche "
+    "della regione, mentre altri preferiscono la campagna, dove si producono vino e olio. Ogni anno migliaia di visitatori arrivano. "
+)
+TURKISH = (
+    "Şehir nehrin kıyısında yer alır ve Romalılarla başlayan uzun bir tarihe sahiptir. Bugün birçok insan bölgedeki fabrikalarda çalışıyor, "
+    "diğerleri ise şarap ve zeytinyağı üretilen kırsal bölgeyi tercih ediyor. Her yıl binlerce ziyaretçi eski kiliseleri görmek için geliyor. "
+)
+
+
+def test_language_rejects_junk_and_foreign_texts(spark):
+    import random
+
+    sf = "/root/testdata/sf0.1"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    rng = random.Random(3)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    real = [r.text for r in docs.filter("n_chars > 600").orderBy("doc_id").limit(60).collect()]
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    planted = {-1: ITALIAN, -2: TURKISH, -3: ITALIAN * 8, -4: TURKISH * 8}
+    planted |= {-100 - i: "".join(rng.sample(t, len(t))) for i, t in enumerate(real)}
+    planted |= {-200 - i: "".join(rng.choice("asdfghjkl ") for _ in range(300)) for i in range(60)}
+    planted |= {-300 - i: "".join(rng.choice(letters) for _ in range(300)) for i in range(60)}
+    rows = [(i, t, None, "planted", len(t)) for i, t in planted.items()]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    both = docs.select(*names).unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = ids(corpus_pipeline.known_language(spark, both, sf))
+    assert [i for i in kept if i < 0] == []
+    assert len(kept) >= 0.999 * docs.count()

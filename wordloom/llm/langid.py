@@ -9,12 +9,12 @@ not there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,10 @@ from wordloom.llm.common import as_texts, fold, pick, plain_names, text_slices
 PROFILE = 300
 LETTER_BITS = 18  # every letter of Unicode lies below U+40000
 SALTS = 64
+LENGTH_BANDS = 13  # by binary digits of the length: the last holds all texts of 4,096 characters and more
+BAND_ROWS = 1000  # with fewer training rows a band takes the cut of all rows
+LIKENESS_STEPS = 1000
+LOW_SHARE = 0.01
 
 
 @cache
@@ -175,14 +179,58 @@ def identify_batches(identifier: Identifier):
     return run
 
 
+def training_rows(docs: DataFrame, folds: int, held_out: int, id: str, text: str, lang: str) -> DataFrame:
+    """lang and text of all rows that have both and are not held out."""
+    rows = pick(docs, id, text, lang).toDF("id", "text", "lang")
+    return rows.filter((fold(F.col("id"), folds) != held_out) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+
+
 def train_identifier(docs: DataFrame, folds: int = 4, held_out: int = 2, size: int = PROFILE, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Identifier:
     """Profiles of all languages named in rows whose crc32(id) modulo ``folds`` is not ``held_out``.
 
     Rows without a text or a language teach nothing. What comes to the driver is ``size`` n-grams per language.
     """
-    rows = pick(docs, id, text, lang).toDF("id", "text", "lang")
-    train = rows.filter((fold(F.col("id"), folds) != held_out) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return Identifier([tuple(r) for r in profiles(train.select("lang", "text"), size).collect()], size)
+    train = training_rows(docs, folds, held_out, id, text, lang)
+    return Identifier([tuple(r) for r in profiles(train, size).collect()], size)
+
+
+def length_band(text: Column) -> Column:
+    """Band of a text by its length, from 0."""
+    return F.least(F.length(F.bin(F.length(F.coalesce(text, F.lit(""))))), F.lit(LENGTH_BANDS)) - 1
+
+
+def band_scores(identifier: Identifier):
+    """Likeness of each text that has any, beside its band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_slices(batches, "text"):
+            langs, scores = identifier.predict(as_texts(chunk.column("text")))
+            known = pa.array([name != "und" for name in langs], pa.bool_())
+            yield pa.RecordBatch.from_arrays([chunk.column("band"), pa.array(scores, pa.float64())], names=["band", "score"]).filter(known)
+
+    return run
+
+
+def low_fence(steps: np.ndarray) -> float:
+    """As far below the low quantile of a histogram of likeness as the median lies above it; 0 if it is empty."""
+    sums = np.cumsum(steps)
+    low, middle = np.searchsorted(sums, np.array([LOW_SHARE, 0.5]) * sums[-1]) if sums[-1] else (0, 0)
+    return max(0, 2 * int(low) - int(middle)) / LIKENESS_STEPS
+
+
+def likeness_cuts(docs: DataFrame, identifier: Identifier, folds: int = 4, held_out: int = 2, id: str = "doc_id", text: str = "text", lang: str = "lang") -> list[float]:
+    """Least likeness of a text of a known language, for each band of lengths, from all rows that the profiles were learned from;
+    no band's is below that of all rows.
+
+    What comes to the driver is a histogram of ``LIKENESS_STEPS`` steps per band.
+    """
+    train = training_rows(docs, folds, held_out, id, text, lang).select(length_band(F.col("text")).alias("band"), "text")
+    told = train.mapInArrow(band_scores(identifier), "band int, score double")
+    steps = np.zeros((LENGTH_BANDS, LIKENESS_STEPS + 1), np.int64)
+    for band, step, n in told.groupBy("band", F.floor(F.col("score") * LIKENESS_STEPS).cast("int").alias("step")).count().collect():
+        steps[band, step] = n
+    least = low_fence(steps.sum(axis=0))
+    return [max(least, low_fence(band)) if band.sum() >= BAND_ROWS else least for band in steps]
 
 
 def predict_languages(docs: DataFrame, identifier: Identifier, id: str = "doc_id", text: str = "text", folds: int = 4, held_out: int = 2) -> DataFrame:
@@ -197,9 +245,10 @@ def predict_languages(docs: DataFrame, identifier: Identifier, id: str = "doc_id
     return told.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, identifier: Identifier, least: float, text: str = "text") -> DataFrame:
-    """The rows, unchanged, whose text is like some language by at least ``least``."""
+def keep_known(docs: DataFrame, identifier: Identifier, least: float | Sequence[float], text: str = "text") -> DataFrame:
+    """The rows, unchanged, whose text is like some language by at least ``least``: one number, or one per band of lengths."""
     plain = plain_names(docs, text=text)
     schema = T.StructType([*plain.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    told = plain.mapInArrow(identify_batches(identifier), schema).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    cut = F.lit(least) if isinstance(least, (int, float)) else F.get(F.array(*map(F.lit, least)), length_band(F.col("text")))
+    told = plain.mapInArrow(identify_batches(identifier), schema).filter((F.col("lang_pred") != "und") & (F.col("score") >= cut))
     return told.select(*plain.columns).toDF(*docs.columns)
