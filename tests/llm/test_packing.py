@@ -61,3 +61,40 @@ def test_odd_rows(odd_docs, no_docs):
     assert packed.filter("doc_id is null").count() == 1
     assert packed.filter("doc_id = 7").agg({"length": "sum"}).first()[0] == 27001
     assert pack_documents(no_docs, SIZES).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_every_bin_has_its_own_opening_size(seed):
+    from wordloom.llm.packing import open_by_cost, pack_pieces
+
+    rng = random.Random(seed)
+    lengths = np.array([rng.randrange(1, 33) for _ in range(60)])
+    for pack in (open_by_cost, pack_pieces):
+        bins = pack(lengths, SIZES)
+        assert sorted(p for _, b in bins for p in b) == list(range(60))
+        assert all(c == downsize(int(lengths[b].sum()), SIZES) for c, b in bins)
+
+    def cost(found):
+        return sum(bin_cost(c) for c, _ in found)
+
+    assert cost(pack_pieces(lengths, SIZES)) == min(cost(open_by_cost(lengths, SIZES)), cost(pack_lengths(lengths, SIZES)))
+
+
+def test_the_query_packs_tokens(spark):
+    import os
+
+    import public_tokenizers
+
+    from wordloom.llm.queries import op8_packing
+    from wordloom.llm.token_count import token_counts
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    counts = token_counts(spark.read.parquet(f"{sf}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json")).collect()
+    check(op8_packing(spark, sf), {r.doc_id: r.n_tokens + 1 for r in counts}, (512, 1024, 2048, 4096))
+
+
+def test_a_text_without_spaces_is_cut_by_a_given_length(spark):
+    docs = spark.createDataFrame([(1, "x" * 90, 70), (2, None, None), (3, "a b", 2)], "doc_id long, text string, tokens long")
+    check(pack_documents(docs, SIZES, length="tokens"), {1: 71, 2: 1, 3: 3}, SIZES)

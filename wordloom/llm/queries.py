@@ -57,8 +57,9 @@ def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document in a sequence of one of the permitted lengths."""
-    return pack_documents(spark.read.parquet(f"{sf}/documents.parquet"))
+    """Every document's tokens in sequences of the permitted lengths."""
+    counts = token_counts(spark.read.parquet(f"{sf}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(counts, length="n_tokens")
 
 
 def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
