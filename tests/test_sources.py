@@ -55,6 +55,21 @@ def test_network_round_trip(spark, tmp_path):
     assert [(r.category, r.keyword, r.nested) for r in readers.network_keywords(whole).collect()] == [("f", "k", ["n"])]
 
 
+def test_network_rows_do_not_grow_with_the_network(spark, tmp_path):
+    keywords = spark.range(500).selectExpr(
+        "'c' category", "id pos", "concat('k', id) keyword", "array(named_struct('keyword', 'n', 'weight', 9D)) nested", "id % 2 = 0 is_sufficient")
+    sequences = spark.range(300).selectExpr("'c' category", "id pos", "array('x', concat('k', id)) sequence", "true is_sufficient")
+    rows = writers.network_documents(keywords, sequences)
+    assert rows.count() == 800
+    path = str(tmp_path / "net")
+    writers.write_network(rows, path)
+    assert max(len(r.value) for r in spark.read.text(path).collect()) < 200
+    net = readers.read_network(spark, path)
+    found = sorted((r.pos, r.keyword, r.nested, r.is_sufficient, r.category) for r in readers.network_keywords(net).collect())
+    assert found == [(i, f"k{i}", ["n"], i % 2 == 0, "c") for i in range(500)]
+    assert sorted((r.pos, r.sequence[1]) for r in readers.network_sequences(net).collect()) == [(i, f"k{i}") for i in range(300)]
+
+
 def test_scan_documents_and_reports(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.Txt").write_bytes("été".encode())

@@ -376,10 +376,9 @@ def _network_documents(spark, sf) -> DataFrame:
 
 @query
 def network_json(spark, sf):
-    rows = _network_documents(spark, sf).select(F.col("Category").alias("category"), F.posexplode("Keywords").alias("pos", "k"))
+    rows = readers.network_entries(_network_documents(spark, sf), "Keyword", "Keywords")
     nested = rows.select(
-        "category", F.col("pos").cast("bigint").alias("pos"), "k.keyword", "k.is_sufficient",
-        F.explode_outer("k.nested_keywords").alias("n"),
+        "category", "pos", "entry.keyword", "entry.is_sufficient", F.explode_outer("entry.nested_keywords").alias("n"),
     )
     return nested.select(
         "category", "pos", "keyword", "is_sufficient", F.col("n.keyword").alias("nested_keyword"),

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from wordloom.operators.documents import file_type
 
+KEYWORD = "struct<keyword: string, nested_keywords: array<struct<keyword: string, weight: double>>, is_sufficient: boolean>"
+SEQUENCE = "struct<sequence: array<string>, nested_sequences: array<array<string>>, is_sufficient: boolean>"
+#: A row holds one keyword or one sequence at its place, or all of a category.
 NETWORK_SCHEMA = (
-    "Category string, "
-    "Keywords array<struct<keyword: string, nested_keywords: array<struct<keyword: string, weight: double>>, "
-    "is_sufficient: boolean>>, "
-    "Sequences array<struct<sequence: array<string>, nested_sequences: array<array<string>>, is_sufficient: boolean>>"
+    f"Category string, pos bigint, Keyword {KEYWORD}, Sequence {SEQUENCE}, Keywords array<{KEYWORD}>, Sequences array<{SEQUENCE}>"
 )
 
 
@@ -94,22 +94,29 @@ def numbered_descriptions(df: DataFrame) -> DataFrame:
 
 
 def read_network(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
-    """Network documents, one per line, or (``lines=False``) one JSON array per file."""
+    """Network rows or whole documents, one per line, or (``lines=False``) one JSON array per file."""
     return spark.read.schema(NETWORK_SCHEMA).option("multiLine", not lines).json(path)
 
 
+def network_entries(network: DataFrame, one: str, all: str) -> DataFrame:
+    """(category, pos, entry) of the rows that hold one entry and of the lists that hold all of a category."""
+    alone = F.array(F.struct(F.col("pos"), F.col(one).alias("entry")))
+    listed = F.transform(all, lambda x, i: F.struct(i.cast("bigint").alias("pos"), x.alias("entry")))
+    rows = network.select(F.col("Category").alias("category"), F.explode(F.when(F.col(one).isNotNull(), alone).otherwise(listed)).alias("e"))
+    return rows.select("category", "e.pos", "e.entry")
+
+
 def network_keywords(network: DataFrame) -> DataFrame:
     """(category, pos, keyword, nested array<string>, is_sufficient)."""
-    return network.select(F.col("Category").alias("category"), F.posexplode("Keywords").alias("pos", "k")).select(
-        "category", F.col("pos").cast("bigint").alias("pos"), "k.keyword",
-        F.col("k.nested_keywords.keyword").alias("nested"), "k.is_sufficient",
+    return network_entries(network, "Keyword", "Keywords").select(
+        "category", "pos", "entry.keyword", F.col("entry.nested_keywords.keyword").alias("nested"), "entry.is_sufficient"
     )
 
 
 def network_sequences(network: DataFrame) -> DataFrame:
     """(category, pos, sequence, nested_sequences, is_sufficient)."""
-    return network.select(F.col("Category").alias("category"), F.posexplode("Sequences").alias("pos", "s")).select(
-        "category", F.col("pos").cast("bigint").alias("pos"), "s.sequence", "s.nested_sequences", "s.is_sufficient"
+    return network_entries(network, "Sequence", "Sequences").select(
+        "category", "pos", "entry.sequence", "entry.nested_sequences", "entry.is_sufficient"
     )
 
 
