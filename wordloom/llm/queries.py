@@ -16,6 +16,7 @@ from wordloom.llm.langid import predict_languages, train_identifier
 from wordloom.llm.lm_score import ctw_scores
 from wordloom.llm.packing import pack_documents
 from wordloom.llm.quality import quality_scores
+from wordloom.llm.quality_rules import rule_verdicts
 from wordloom.llm.token_count import token_counts
 from wordloom.llm.topk import exact_top_k
 
@@ -72,6 +73,11 @@ def op10_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return exact_top_k(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("id") % 50 == 0)
 
 
+def op11_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Measurements of every document, the mask of rules that it fails, and the verdict of the current policy."""
+    return rule_verdicts(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 #: SQL twins, where SQL can express the operator. The other operators rest on hashes, vocabularies, trained models or
@@ -118,4 +125,29 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scored QUALIFY rank <= 5
     """,
+    "op11_quality_rules": r"""
+        WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        split AS MATERIALIZED (
+            SELECT row, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+                list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines FROM texts
+        ), windows AS MATERIALIZED (
+            SELECT row, at, count(*) OVER (PARTITION BY row, run) AS times FROM (
+                SELECT row, at, array_to_string(w[at:at + 2], ' ') AS run FROM (SELECT row, w, unnest(range(1, len(w) - 1)) AS at FROM split))
+        ), repeats AS MATERIALIZED (
+            SELECT row, count(DISTINCT at + step) AS n FROM windows, (SELECT unnest([0, 1, 2]) AS step) WHERE times > 1 GROUP BY row
+        ), measured AS MATERIALIZED (
+            SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+                CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+                CAST(len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS BIGINT) AS n_alpha_words,
+                CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS BIGINT) AS n_bullet_lines,
+                CAST(len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS BIGINT) AS n_cut_lines
+            FROM split s LEFT JOIN repeats r ON r.row = s.row
+        ), noted AS MATERIALIZED (
+            SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (n_words > 100000)::INT + 8 * (word_chars < 3 * n_words)::INT
+                + 16 * (word_chars > 10 * n_words)::INT + 32 * (10 * n_symbols > n_words)::INT + 64 * (100 * n_dup_lines > 30 * n_lines)::INT
+                + 128 * (100 * n_alpha_words < 80 * n_words)::INT + 256 * (100 * n_bullet_lines > 90 * n_lines)::INT + 512 * (100 * n_cut_lines > 30 * n_lines)::INT AS BIGINT) AS failed FROM measured
+        )
+        SELECT *, failed & 3 <> 0 AS base_failed, failed & 1019 = 0 AS kept FROM noted
+    """,
 }
