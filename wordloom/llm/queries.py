@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm.bpe_encode import bpe_digests
+from wordloom.llm.collocations import collocations
 from wordloom.llm.fingerprint import fingerprints
 from wordloom.llm.html_text import extract_text
 from wordloom.llm.jaccard_join import jaccard_components
@@ -78,6 +79,11 @@ def op11_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rule_verdicts(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The best two- and three-word phrases of each language."""
+    return collocations(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
     "op11_quality_rules": op11_quality_rules,
+    "op12_collocations": op12_collocations,
 }
 
 #: SQL twins, where SQL can express the operator. The other operators rest on hashes, vocabularies, trained models or
@@ -150,4 +157,27 @@ ORACLES: dict[str, str] = {
         )
         SELECT *, failed & 3 <> 0 AS base_failed, failed & 1019 = 0 AS kept FROM noted
     """,
+    "op12_collocations": r"""
+        WITH pieces AS MATERIALIZED (
+            SELECT lang, row_number() OVER () AS piece, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+        ), totals AS MATERIALIZED (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        found AS MATERIALIZED (
+            SELECT lang, size, w, array_to_string(w, ' ') AS phrase, count(*) AS f FROM (
+                SELECT lang, size, w[i:i + size - 1] AS w FROM (
+                    SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3]) AS size))
+            ) GROUP BY lang, size, w HAVING count(*) >= 10
+        ), inside AS MATERIALIZED (
+            SELECT lang, phrase, max(f) AS longer FROM (SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM found WHERE size = 3) GROUP BY ALL
+        ), cuts AS MATERIALIZED (
+            SELECT c.lang, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r, CAST((1000000 * CAST(c.f AS HUGEINT) * c.f) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score FROM (
+                SELECT *, unnest(range(1, size)) AS k FROM found WHERE size >= 2) c
+            JOIN found x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+            JOIN found y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+        ), best AS MATERIALIZED (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, b.l, b.r, t.n, b.score, b.k AS cut
+        FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+        WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a QUALIFY rank <= 2000
+    """,
 }
