@@ -18,6 +18,7 @@ from wordloom.llm.lm_score import ctw_scores
 from wordloom.llm.packing import pack_documents
 from wordloom.llm.quality import quality_scores
 from wordloom.llm.quality_rules import rule_verdicts
+from wordloom.llm.spelling import spelling_variants
 from wordloom.llm.token_count import token_counts
 from wordloom.llm.topk import exact_top_k
 
@@ -84,6 +85,11 @@ def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word of the corpus with the more frequent word that it is a variant of."""
+    return spelling_variants(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_top_k": op10_top_k,
     "op11_quality_rules": op11_quality_rules,
     "op12_collocations": op12_collocations,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: SQL twins, where SQL can express the operator. The other operators rest on hashes, vocabularies, trained models or
@@ -180,4 +187,34 @@ ORACLES: dict[str, str] = {
         FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
         WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a QUALIFY rank <= 2000
     """,
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE crc AS MATERIALIZED (
+            SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+        ), runs AS MATERIALIZED (
+            SELECT doc_id, run, count(*) AS times FROM (
+                SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents
+            ) GROUP BY ALL
+        ), points AS MATERIALIZED (
+            SELECT run, times, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x: CAST(unicode(x) AS BIGINT)) AS p FROM runs
+        ), hashed AS MATERIALIZED (
+            SELECT run, times, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(p, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + (c >> 6), 128 + (c & 63)] END))),
+                lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1])), 4294967295) AS h FROM points, crc
+        ), words AS MATERIALIZED (
+            SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+                SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed
+            ) WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+        ), holes AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        near AS MATERIALIZED (
+            SELECT x.word, y.word AS other, y.n FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+            UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.a || h.b
+            UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.a || h.b
+        ), best AS MATERIALIZED (SELECT word, count(*) AS n_near, arg_min(other, {'less': -n, 'other': other}) AS other, max(n) AS most FROM near GROUP BY word),
+        forms AS MATERIALIZED (
+            SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= 2 * w.n THEN b.other END AS form, CASE WHEN b.most >= 2 * w.n THEN b.most END AS form_n
+            FROM words w LEFT JOIN best b ON b.word = w.word
+        ), chain AS (
+            SELECT word, word AS stop, 0 AS step FROM forms UNION ALL SELECT c.word, f.form, c.step + 1 FROM chain c JOIN forms f ON f.word = c.stop WHERE f.form IS NOT NULL
+        )
+        SELECT f.word, f.n, f.form, f.form_n, f.n_near, c.root FROM forms f JOIN (SELECT word, arg_max(stop, step) AS root FROM chain GROUP BY word) c ON c.word = f.word
+    """,
 }
