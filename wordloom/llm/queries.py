@@ -140,15 +140,15 @@ ORACLES: dict[str, str] = {
         FROM scored QUALIFY rank <= 5
     """,
     "op11_quality_rules": r"""
-        WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS entry, doc_id, coalesce(text, '') AS text FROM documents),
         split AS MATERIALIZED (
-            SELECT row, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+            SELECT entry, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
                 list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines FROM texts
         ), windows AS MATERIALIZED (
-            SELECT row, at, count(*) OVER (PARTITION BY row, run) AS times FROM (
-                SELECT row, at, array_to_string(w[at:at + 2], ' ') AS run FROM (SELECT row, w, unnest(range(1, len(w) - 1)) AS at FROM split))
+            SELECT entry, place, count(*) OVER (PARTITION BY entry, run) AS times FROM (
+                SELECT entry, place, array_to_string(w[place:place + 2], ' ') AS run FROM (SELECT entry, w, unnest(range(1, len(w) - 1)) AS place FROM split))
         ), repeats AS MATERIALIZED (
-            SELECT row, count(DISTINCT at + step) AS n FROM windows, (SELECT unnest([0, 1, 2]) AS step) WHERE times > 1 GROUP BY row
+            SELECT entry, count(DISTINCT place + step) AS n FROM windows, (SELECT unnest([0, 1, 2]) AS step) WHERE times > 1 GROUP BY entry
         ), measured AS MATERIALIZED (
             SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
                 CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
@@ -156,7 +156,7 @@ ORACLES: dict[str, str] = {
                 CAST(len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS BIGINT) AS n_alpha_words,
                 CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS BIGINT) AS n_bullet_lines,
                 CAST(len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS BIGINT) AS n_cut_lines
-            FROM split s LEFT JOIN repeats r ON r.row = s.row
+            FROM split s LEFT JOIN repeats r ON r.entry = s.entry
         ), noted AS MATERIALIZED (
             SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (n_words > 100000)::INT + 8 * (word_chars < 3 * n_words)::INT
                 + 16 * (word_chars > 10 * n_words)::INT + 32 * (10 * n_symbols > n_words)::INT + 64 * (100 * n_dup_lines > 30 * n_lines)::INT
