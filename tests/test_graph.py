@@ -207,22 +207,38 @@ def test_vector_edges_over_several_blocks(spark):
     assert got[(3, 7)] == 10.0
 
 
-@pytest.mark.parametrize("block,per_task", [(1024, 10**6), (5, 60)])
-def test_term_edges_over_several_blocks(spark, monkeypatch, block, per_task):
-    monkeypatch.setattr(similarity, "TERM_BLOCK", block)
-    monkeypatch.setattr(similarity, "ENTRIES_PER_TASK", per_task)
+@pytest.mark.parametrize("threshold", [0.4, 0.7, 0.9])
+def test_term_edges_are_all_pairs_above_the_threshold(spark, threshold):
     rnd = np.random.default_rng(1)
-    m = rnd.random((25, 12)) * (rnd.random((25, 12)) < 0.3)
-    m[:, 4] = 2 * m[:, 2]
-    m[0, 4] = 2 * m[0, 2]
-    weights = [("c", d, name(t), float(m[d, t])) for d in range(25) for t in range(12) if m[d, t]]
+    m = rnd.random((60, 40)) * (rnd.random((60, 40)) < 0.2)
+    m[:, 4] = 2 * m[:, 2]  # cosine 1, but not equal
+    m[:, 7] = m[:, 11] = m[:, 13] = m[:, 2]  # a class of four
+    m[:, 20] = m[:, 21] * (1 + 0.2 * rnd.random(60))
+    m[:, 30] = m[:, 31] = 0
+    m[5, 30] = m[5, 31] = 0.5  # a class in one document
+    weights = [("c", d, name(t), float(m[d, t])) for d in range(60) for t in range(40) if m[d, t]]
     w = spark.createDataFrame(weights, "category string, doc_id bigint, term string, w double")
-    k = spark.createDataFrame([("c", name(t), t + 1) for t in range(12)], NODES)
-    got = {(r.ra - 1, r.rb - 1): r.w for r in similarity.term_edges(w, k, 0.4).collect()}
+    k = spark.createDataFrame([("c", name(t), t + 1) for t in range(40)], NODES)
+    graph_ = similarity.column_graph(w, k, threshold)
+    got = {(r.ra - 1, r.rb - 1): r.w for r in similarity.member_edges(graph_).collect()}
     unit = m / np.linalg.norm(m, axis=0)
     sim = unit.T @ unit
-    want = {(i, j): 10 * sim[i, j] for i, j in itertools.combinations(range(12), 2) if sim[i, j] > 0.4}
+    want = {(i, j): 10 * sim[i, j] for i, j in itertools.combinations(range(40), 2) if round(sim[i, j], 10) > threshold}
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-8 for p in want)
+    assert {r["size"] for r in graph_.classes.filter("class IN (3, 31)").collect()} == {4, 2}
+
+
+def test_pairs_below_the_bound_do_not_leave_the_join(spark):
+    # a hub document that holds every column, and one document of its own for each
+    rows = [("c", 0, name(t), 0.1) for t in range(300)] + [("c", 1 + t, name(t), 0.9) for t in range(300)]
+    rows += [("c", 1000, name(t), 0.5) for t in (300, 301)] + [("c", 1001, name(t), 0.5 + t / 1e4) for t in (300, 301)]
+    w = spark.createDataFrame(rows, "category string, doc_id bigint, term string, w double")
+    units = w.selectExpr("category", "doc_id", "CAST(substring(term, 2) AS BIGINT) AS class", "w AS u")
+    norms = units.groupBy("class").agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("norm"))
+    units = units.join(norms, "class").select("category", "doc_id", "class", (F.col("u") / F.col("norm")).alias("u"))
+    leading = similarity.leading_entries(units, 0.9)
+    assert leading.filter("doc_id = 0").count() == 0
+    assert [(r.ca, r.cb) for r in similarity.candidate_pairs(leading, 0.9).collect()] == [(300, 301)]
 
 
 def test_sample_is_seeded(spark):

@@ -1,25 +1,26 @@
 """Similarity graphs: all pairs above a cosine threshold, exact.
 
-Nothing is cross-joined. Vectors are cut into blocks of bounded size, a task
-multiplies two blocks (or the part of two blocks that falls in one slice of the
-documents) and returns only what is needed: matches, or partial dot products
-that are summed by key.
+Nothing is cross-joined. Term columns are sparse: equal ones are taken together, and two of them meet only in a document
+that both hold among their leading entries and only if what they have left can still lift them over the threshold.
+Given vectors are dense: they are cut into blocks of bounded size, a task multiplies two blocks and returns matches.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.session import stage
 
 THRESHOLD = 0.7
 WEIGHT_SCALE = 10.0
-TERM_BLOCK = 1024
 VECTOR_BLOCK = 2048
-ENTRIES_PER_TASK = 1_000_000
+SLACK = 1e-9  # bounds keep what rounding to ten digits may still lift over the threshold
+FOLDS = 64  # parts of a column whose norms bound a product
+LEVELS = 8  # steps of document length per power of two
 
 
 def _to_edges(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -39,72 +40,129 @@ def _with_block_pairs(rows: DataFrame, own: str, blocks: int) -> DataFrame:
     return rows.withColumn("_pair", F.explode(others)).select("*", "_pair.bi", "_pair.bj").drop("_pair")
 
 
-def term_edges(weights: DataFrame, keywords: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Edges between keywords whose TF-IDF columns have cosine above the threshold.
+@dataclass(frozen=True)
+class ColumnGraph:
+    """Terms with equal columns as one node: the graph between these classes, and who is in them.
+
+    ``links`` has class pairs (``ca < cb``, the rank of their first members) above the threshold, with the rounded
+    cosine. Members of one class have cosine 1 with each other; no row is kept for such a pair.
+    """
+
+    classes: DataFrame  # (category, class, size)
+    members: DataFrame  # (category, class, term, rank)
+    links: DataFrame  # (category, ca, cb, sim)
 
-    ``weights`` is (category, doc_id, term, w), ``keywords`` (category, term, rank).
-    Dot products are sums over documents, so each task takes a slice of the
-    documents and returns one partial sum per pair of terms that meet there. Both
-    tables should be staged: they are read more than once.
+
+def column_classes(entries: DataFrame) -> DataFrame:
+    """(category, rank, class, norm2): terms with the same weight in the same documents share a class, named by its lowest rank.
+
+    ``entries`` is (category, doc_id, rank, w). Columns are told apart by the number of their documents and two 64-bit
+    sums over (document, weight), so no column is ever collected.
     """
-    top = keywords.agg(F.max("rank")).first()[0] or 0
-    blocks = max(1, math.ceil(top / TERM_BLOCK))
-    slices = max(1, math.ceil(weights.count() * blocks / ENTRIES_PER_TASK))
-    entries = weights.join(keywords.select("category", "term", "rank"), ["category", "term"]).select(
-        "category", "doc_id", (F.col("rank") - 1).cast("int").alias("i"), "w"
+    cell = lambda seed: F.bit_xor(F.xxhash64("doc_id", "w", F.lit(seed)))
+    marked = entries.groupBy("category", "rank").agg(
+        F.count(F.lit(1)).alias("df"), cell(1).alias("h1"), cell(2).alias("h2"), F.sum(F.col("w") * F.col("w")).alias("norm2")
     )
-    sliced = entries.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)).cast("int"))
-    paired = _with_block_pairs(sliced.withColumn("blk", F.floor(F.col("i") / TERM_BLOCK).cast("int")), "blk", blocks)
-    width, chunk = TERM_BLOCK, 2048
+    marked = stage(marked, "columns")
+    key = ["category", "df", "h1", "h2"]
+    first = marked.groupBy(*key).agg(F.min("rank").alias("class"))
+    return marked.join(first, key).select("category", "rank", "class", "norm2")
 
-    def partial_dots(key, pdf):
-        import numpy as np
-        import pandas as pd
 
-        category, bi, bj, _ = key
-        docs, row = np.unique(pdf["doc_id"].to_numpy(), return_inverse=True)
-        order = np.argsort(row, kind="stable")
-        row, i = row[order], pdf["i"].to_numpy()[order]
-        w, blk = pdf["w"].to_numpy()[order], pdf["blk"].to_numpy()[order]
-        total = np.zeros((width, width))
-        for start in range(0, len(docs), chunk):
-            lo, hi = np.searchsorted(row, [start, start + chunk])
-            sides = []
-            for block in (bi, bj):
-                here = blk[lo:hi] == block
-                dense = np.zeros((chunk, width))
-                dense[row[lo:hi][here] - start, i[lo:hi][here] - block * width] = w[lo:hi][here]
-                sides.append(dense)
-            total += sides[0].T @ sides[1]
-        if bi == bj:
-            total = np.triu(total)  # the diagonal holds the squared norms
-        left, right = np.nonzero(total)
-        return pd.DataFrame(
-            {"category": category, "i": left + bi * width, "j": right + bj * width, "dot": total[left, right]}
-        ).astype({"i": "int32", "j": "int32"})
-
-    dots = stage(
-        paired.groupBy("category", "bi", "bj", "slice")
-        .applyInPandas(partial_dots, "category string, i int, j int, dot double")
-        .groupBy("category", "i", "j")
-        .agg(F.sum("dot").alias("dot")),
-        "dots",
+def leading_entries(units: DataFrame, threshold: float) -> DataFrame:
+    """(category, doc_id, class, u, rest): the entries by which a column can meet another above the threshold.
+
+    Documents are ordered by how many columns they hold, fewest first, in steps. ``rest`` is the squared norm of an entry and all that
+    come at its step or later. Entries whose ``rest`` is below the squared threshold are left out: what begins there
+    cannot reach it, so two columns above the threshold share a leading entry, and the first document they share is one.
+    """
+    held = units.groupBy("category", "doc_id").agg(F.floor(F.log2(F.count(F.lit(1))) * LEVELS).cast("int").alias("level"))
+    placed = stage(units.join(held, ["category", "doc_id"]), "units")
+    mass = placed.groupBy("category", "class", "level").agg(F.sum(F.col("u") * F.col("u")).alias("mass"))
+    later = Window.partitionBy("category", "class").orderBy(F.desc("level"))
+    rest = mass.select("category", "class", "level", F.sum("mass").over(later).alias("rest"))
+    leading = rest.filter(F.col("rest") >= threshold * threshold - SLACK)
+    return placed.join(leading, ["category", "class", "level"]).select("category", "doc_id", "class", "u", "rest")
+
+
+def candidate_pairs(leading: DataFrame, threshold: float) -> DataFrame:
+    """(category, ca, cb): columns that may lie above the threshold, by the bound at each leading entry they share.
+
+    At the first document two columns share, their product is at most the product of these entries plus that of
+    the norms of what is left. The join itself drops pairs whose bound stays below.
+    """
+    left = lambda alias: F.sqrt(F.greatest(F.col(f"{alias}.rest") - F.col(f"{alias}.u") * F.col(f"{alias}.u"), F.lit(0.0)))
+    x, y = leading.alias("x"), leading.alias("y")
+    bound = F.col("x.u") * F.col("y.u") + left("x") * left("y")
+    on = (
+        (F.col("x.category") == F.col("y.category")) & (F.col("x.doc_id") == F.col("y.doc_id"))
+        & (F.col("x.class") < F.col("y.class")) & (bound >= threshold - SLACK)
     )
-    norms = dots.filter("i = j").select("category", (F.col("i") + 1).cast("bigint").alias("rank"), F.sqrt("dot").alias("norm"))
-    names = keywords.select("category", "term", "rank").join(norms, ["category", "rank"])
+    return x.join(y, on).select("x.category", F.col("x.class").alias("ca"), F.col("y.class").alias("cb")).distinct()
 
-    def side(prefix: str, index: str) -> DataFrame:
-        return names.select(
-            "category", (F.col("rank") - 1).cast("int").alias(index), F.col("term").alias(prefix),
-            F.col("rank").alias("r" + prefix), F.col("norm").alias("norm_" + prefix),
-        )
 
-    named = dots.filter("i < j").join(side("a", "i"), ["category", "i"]).join(side("b", "j"), ["category", "j"])
-    return _to_edges(
-        named.withColumn("sim", F.col("dot") / (F.col("norm_a") * F.col("norm_b"))), threshold
+def folded_norms(units: DataFrame) -> DataFrame:
+    """(category, class, folds): the norm of a column in each of ``FOLDS`` parts of the documents."""
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS))
+    square = F.col("u") * F.col("u")
+    norms = [F.sqrt(F.coalesce(F.sum(F.when(part == i, square)), F.lit(0.0))) for i in range(FOLDS)]
+    return units.groupBy("category", "class").agg(F.array(*norms).alias("folds"))
+
+
+def probable_pairs(pairs: DataFrame, folded: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose product, bounded part by part, can still reach the threshold."""
+    side = lambda key, name: folded.select("category", F.col("class").alias(key), F.col("folds").alias(name))
+    bound = F.aggregate(F.zip_with("fa", "fb", lambda a, b: a * b), F.lit(0.0), lambda total, one: total + one)
+    met = pairs.join(side("ca", "fa"), ["category", "ca"]).join(side("cb", "fb"), ["category", "cb"])
+    return met.filter(bound >= threshold - SLACK).select("category", "ca", "cb")
+
+
+def column_graph(weights: DataFrame, keywords: DataFrame, threshold: float = THRESHOLD) -> ColumnGraph:
+    """The exact similarity graph of TF-IDF columns, one node per class of equal columns.
+
+    ``weights`` is (category, doc_id, term, w), ``keywords`` (category, term, rank); both should be staged.
+    """
+    entries = weights.join(keywords.select("category", "term", "rank"), ["category", "term"]).select("category", "doc_id", "rank", "w")
+    entries = stage(entries, "entries")
+    classed = stage(column_classes(entries), "classes")
+    heads = classed.filter("rank = class").select("category", "rank", "class", F.sqrt("norm2").alias("norm"))
+    units = stage(
+        entries.join(heads, ["category", "rank"]).select("category", "doc_id", "class", (F.col("w") / F.col("norm")).alias("u")), "units"
+    )
+    folded = stage(folded_norms(units), "folded")
+    pairs = stage(probable_pairs(candidate_pairs(leading_entries(units, threshold), threshold), folded, threshold), "candidates")
+    side = lambda name, value: units.select("category", "doc_id", F.col("class").alias(name), F.col("u").alias(value))
+    dots = pairs.join(side("ca", "ua"), ["category", "ca"]).join(side("cb", "ub"), ["category", "cb", "doc_id"])
+    sims = dots.groupBy("category", "ca", "cb").agg(F.round(F.sum(F.col("ua") * F.col("ub")), 10).alias("sim"))
+    members = classed.join(keywords.select("category", "term", "rank"), ["category", "rank"]).select("category", "class", "term", "rank")
+    return ColumnGraph(
+        stage(classed.groupBy("category", "class").agg(F.count(F.lit(1)).alias("size")), "class-sizes"),
+        stage(members, "members"),
+        stage(sims.filter(F.col("sim") > threshold), "class-links"),
     )
 
 
+def member_edges(graph: ColumnGraph) -> DataFrame:
+    """Every edge between terms: those between members of linked classes, and those within a class."""
+    side = lambda key, name: graph.members.select("category", F.col("class").alias(key), F.col("term").alias(name), F.col("rank").alias("r" + name))
+    across = graph.links.join(side("ca", "x"), ["category", "ca"]).join(side("cb", "y"), ["category", "cb"])
+    first = F.col("rx") < F.col("ry")
+    turned = across.select(
+        "category", F.when(first, F.col("x")).otherwise(F.col("y")).alias("a"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("b"),
+        F.least("rx", "ry").alias("ra"), F.greatest("rx", "ry").alias("rb"), "sim",
+    )
+    many = graph.classes.filter("size > 1").select("category", F.col("class").alias("c"))
+    inside = side("c", "a").join(many, ["category", "c"]).join(side("c", "b"), ["category", "c"]).filter("ra < rb")
+    return turned.unionByName(inside.select("category", "a", "b", "ra", "rb", F.lit(1.0).alias("sim"))).select(
+        "category", "a", "b", "ra", "rb", F.round(F.col("sim") * WEIGHT_SCALE, 10).alias("w")
+    )
+
+
+def term_edges(weights: DataFrame, keywords: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Edges between keywords whose TF-IDF columns have cosine above the threshold, one row per pair of keywords."""
+    return member_edges(column_graph(weights, keywords, threshold))
+
+
 def vector_edges(vectors: DataFrame, threshold: float, block_rows: int = VECTOR_BLOCK) -> DataFrame:
     """Edges between terms whose given vectors have cosine above the threshold.
 
