@@ -106,8 +106,10 @@ class Vocabulary:
             keep[hit + 1] = False
             moved = np.cumsum(keep) - 1
             symbols, owner, at = symbols[keep], owner[keep], at[keep]
-            changed = moved[hit]
-            changed = np.unique(np.r_[changed, changed[changed > 0] - 1])
+            beside = np.zeros(len(symbols) + 1, bool)
+            beside[moved[hit]] = True
+            beside[moved[hit] - 1] = True  # before the first symbol is the spare place
+            changed = np.flatnonzero(beside[:-1])
             follows = changed + 1 < len(symbols)
             at[changed] = -1
             changed = changed[follows]
