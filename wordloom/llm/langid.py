@@ -27,6 +27,7 @@ LENGTH_BANDS = 13  # by binary digits of the length: the last holds all texts of
 BAND_ROWS = 1000  # with fewer training rows a band takes the cut of all rows
 LIKENESS_STEPS = 1000
 LOW_SHARE = 0.01
+SLICE_BYTES = 1 << 20  # of text counted at once: its n-gram keys take some sixty times that
 
 
 @cache
@@ -105,7 +106,7 @@ def count_ngrams(texts: list[str], groups: np.ndarray) -> tuple[np.ndarray, np.n
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts per language of each slice of training texts."""
-    for chunk in text_slices(batches, "text"):
+    for chunk in text_slices(batches, "text", SLICE_BYTES):
         coded = chunk.column("lang").dictionary_encode()
         names = coded.dictionary.to_pylist()
         group, code, count = count_ngrams(as_texts(chunk.column("text")), coded.indices.to_numpy().astype(np.int64))
@@ -168,7 +169,7 @@ class Identifier:
 
 def identify_batches(identifier: Identifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in text_slices(batches, "text"):
+        for chunk in text_slices(batches, "text", SLICE_BYTES):
             langs, scores = identifier.predict(as_texts(chunk.column("text")))
             kept = [chunk.column(k) for k in range(chunk.num_columns)]
             yield pa.RecordBatch.from_arrays(
@@ -203,7 +204,7 @@ def band_scores(identifier: Identifier):
     """Likeness of each text that has any, beside its band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in text_slices(batches, "text"):
+        for chunk in text_slices(batches, "text", SLICE_BYTES):
             langs, scores = identifier.predict(as_texts(chunk.column("text")))
             known = pa.array([name != "und" for name in langs], pa.bool_())
             yield pa.RecordBatch.from_arrays([chunk.column("band"), pa.array(scores, pa.float64())], names=["band", "score"]).filter(known)
