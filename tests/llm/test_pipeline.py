@@ -1,12 +1,16 @@
 """The pipeline against plain Python, stage by stage: each stage is judged on what the one before it kept."""
 
+import math
 import os
+import zlib
 
 import corpus_pipeline
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_jaccard_join import brute
+from tokenizers import Tokenizer
 
-from wordloom.llm.langid import count_ngrams
 from wordloom.session import stage
 
 SF = "/root/testdata/sf0.001"
@@ -30,12 +34,19 @@ def test_columns_stay(steps):
     assert all(df.columns == steps[0].columns for df in steps[:-1])
 
 
-def test_language_keeps_what_has_letters(steps):
-    import numpy as np
+def test_language_keeps_what_is_like_the_training_rows(steps):
+    """By hand: the likeness of each text, cut at as far below the 1 % quantile as the median lies above it, per band of length."""
+    from wordloom.llm.langid import likeness_cuts, train_identifier
 
-    texts = {r.doc_id: r.text for r in steps[0].collect()}
-    with_letters = [i for i, t in texts.items() if len(count_ngrams([t or ""], np.arange(1))[0])]
-    assert ids(steps[1]) == sorted(with_letters)
+    identifier = train_identifier(steps[0])
+    cuts = likeness_cuts(steps[0], identifier)
+    rows = steps[0].collect()
+    train = [r.text for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None and r.text is not None]
+    scores = sorted(int(1000 * s) for name, s in zip(*identifier.predict(train), strict=True) if name != "und")
+    rank = lambda share: scores[max(0, math.ceil(share * len(scores)) - 1)]
+    assert cuts == [max(0, 2 * rank(0.01) - rank(0.5)) / 1000] * len(cuts)  # too few rows for a cut of any band
+    langs, likeness = identifier.predict([r.text or "" for r in rows])
+    assert ids(steps[1]) == sorted(r.doc_id for r, name, s in zip(rows, langs, likeness, strict=True) if name != "und" and s >= cuts[0])
 
 
 def test_quality_parts_the_labels(spark, steps):
@@ -54,9 +65,29 @@ def test_one_of_each_group_stays(steps):
 
 
 def test_all_tokens_are_packed(steps):
-    lengths = {r.doc_id: len((r.text or "").encode().split()) + 1 for r in steps[3].collect()}
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    lengths = {r.doc_id: len(library.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in steps[3].collect()}
     packed = steps[4].groupBy("doc_id").agg({"length": "sum"}).collect()
     assert {r[0]: r[1] for r in packed} == lengths
+    fill = steps[4].groupBy("bin_id").agg({"length": "sum", "capacity": "max"}).collect()
+    assert all(r["sum(length)"] <= r["max(capacity)"] for r in fill)
+
+
+def test_odd_rows_pass_every_stage(spark, steps):
+    """Null ids and texts, repeated rows and clashing names beside real documents; and no document at all."""
+    odd = steps[0].limit(150).unionByName(spark.createDataFrame(
+        [(None, None, None, None, None), (None, "", "en", "a", 0), (7, None, "en", "a", None), (7, None, "en", "a", None)], steps[0].schema
+    ))
+    odd = odd.select("*", F.lit(1.0), F.lit("x")).toDF(*steps[0].columns, "score", "Text")
+    for docs in (odd, odd.limit(0)):
+        kept = docs
+        for name, step in corpus_pipeline.STAGES:
+            kept = step(spark, kept, SF)
+            if name != "packing":
+                assert kept.columns == odd.columns
+            kept = kept.cache()
+            kept.count()
+        assert docs is odd or kept.count() == 0
 
 
 def test_run_is_the_stages(spark, steps):
