@@ -19,7 +19,7 @@ from wordloom.llm.common import pick, text_slices
 PRE_TOKENS = "'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[^SLN]+|[S]+(?![^S])|[S]+"
 #: The same split's coarser units: no pre-token reaches over the end of one.
 UNITS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHE_UNITS = 200_000
+CACHE_UNITS = 1_000_000  # some 200 bytes each
 #: White space of one byte, and all other white space, whose texts are split by pattern (fixed values).
 NARROW = np.zeros(256, bool)
 NARROW[list(b"\t\n\x0b\x0c\r ")] = True
