@@ -50,14 +50,32 @@ def first_line(text: Column) -> Column:
     return F.get(F.split(text, "\n"), F.lit(0))
 
 
+_written: dict[tuple[str, str, str], object] = {}
+
+
+def written_once(spark: SparkSession, sf: str, name: str, build: Callable):
+    """What ``build`` wrote for this input; the queries of one session that need it read the same tables."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _written:
+        _written[key] = build()
+    return _written[key]
+
+
+def whole_graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Ranked keywords and their edges."""
+    return written_once(spark, sf, "graph", lambda: keyword_graph(corpus(spark, sf)))
+
+
 def network(spark: SparkSession, sf: str) -> Network:
     """All keywords and edges; the first paths between sampled nodes."""
-    return build_network(corpus(spark, sf), sample=SAMPLED_NODES, sequence_cap=FIRST_PATHS)
+    return written_once(spark, sf, "network", lambda: build_network(
+        corpus(spark, sf), sample=SAMPLED_NODES, sequence_cap=FIRST_PATHS, built=whole_graph(spark, sf)
+    ))
 
 
 def capped_graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """The variant on a capped vocabulary with looser edges."""
-    return keyword_graph(corpus(spark, sf), VOCABULARY, 0.7)
+    return written_once(spark, sf, "capped graph", lambda: keyword_graph(corpus(spark, sf), VOCABULARY, 0.7))
 
 
 def text_of(value: Column, digits: int = 6) -> Column:
@@ -271,7 +289,7 @@ def _shown(edges: DataFrame) -> DataFrame:
 
 @query
 def term_edges(spark, sf):
-    return _shown(keyword_graph(corpus(spark, sf))[1])
+    return _shown(whole_graph(spark, sf)[1])
 
 
 @query
@@ -284,17 +302,17 @@ def similarity_edges(spark, sf):
 
 @query
 def refine_edges(spark, sf):
-    return _shown(graph.refine(keyword_graph(corpus(spark, sf))[1], rounds=3, cap=None))
+    return _shown(graph.refine(whole_graph(spark, sf)[1], rounds=3, cap=None))
 
 
 @query
 def refine_edges_capped(spark, sf):
-    return _shown(graph.refine(keyword_graph(corpus(spark, sf))[1], rounds=2, cap=100))
+    return _shown(graph.refine(whole_graph(spark, sf)[1], rounds=2, cap=100))
 
 
 @query
 def connected_keywords(spark, sf):
-    ranked, links = keyword_graph(corpus(spark, sf))
+    ranked, links = whole_graph(spark, sf)
     label = F.transform("nested", lambda x: F.concat(x["keyword"], F.lit(" "), F.format_string("%.4f", x["weight"])))
     return graph.connected(links).select(
         "category", "keyword", F.size("nested").cast("bigint").alias("degree"), F.array_join(label, "; ").alias("nested")
@@ -303,7 +321,7 @@ def connected_keywords(spark, sf):
 
 @query
 def node_sufficiency(spark, sf):
-    ranked, links = keyword_graph(corpus(spark, sf))
+    ranked, links = whole_graph(spark, sf)
     return graph.node_sufficiency(ranked, links, min_weight=8.0).select(
         "category", "term", "n_nodes", "strong_edges", "is_sufficient"
     )
@@ -311,13 +329,13 @@ def node_sufficiency(spark, sf):
 
 @query
 def node_sample(spark, sf):
-    ranked, _ = keyword_graph(corpus(spark, sf))
+    ranked, _ = whole_graph(spark, sf)
     return graph.sample_nodes(ranked, SAMPLED_NODES).select("category", "term", "rank")
 
 
 @query
 def components(spark, sf):
-    ranked, links = keyword_graph(corpus(spark, sf))
+    ranked, links = whole_graph(spark, sf)
     return graph.components(ranked, links).select("category", "term", "component")
 
 
@@ -352,7 +370,7 @@ def nested_paths(spark, sf):
 
 
 def _sequences(spark, sf) -> DataFrame:
-    ranked, links = keyword_graph(corpus(spark, sf))
+    ranked, links = whole_graph(spark, sf)
     return paths.simple_paths(graph.sample_nodes(ranked, SAMPLED_NODES), links, cap=FIRST_PATHS)
 
 
@@ -439,9 +457,16 @@ def sufficiency_summary(spark, sf):
     return matching.sufficiency_summary(check_sufficiency(spark, sf))
 
 
-def _first_category(net: Network) -> tuple[DataFrame, DataFrame]:
-    chosen = F.col("category") == "automatable"
-    return net.keyword_rows().filter(chosen), net.sequences.filter(chosen)
+def _by_category(spark, sf, match: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """What ``match`` finds with the keywords and sequences of each category's network; category comes first."""
+    net = network(spark, sf)
+    found = None
+    for category in readers.CATEGORIES:
+        chosen = F.col("category") == category
+        one = match(net.keyword_rows().filter(chosen), net.sequences.filter(chosen))
+        one = one.select(F.lit(category).alias("category"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 def _texts(spark, sf) -> DataFrame:
@@ -457,36 +482,35 @@ KEY = ["row_id", "field"]
 
 @query
 def match_substrings(spark, sf):
-    keywords, _ = _first_category(network(spark, sf))
-    return matching.match_substrings(_texts(spark, sf), keywords, KEY)
+    texts = _texts(spark, sf)
+    return _by_category(spark, sf, lambda keywords, _: matching.match_substrings(texts, keywords, KEY))
 
 
 @query
 def match_sequences_ordered(spark, sf):
-    _, sequences = _first_category(network(spark, sf))
-    return matching.match_sequences_ordered(_texts(spark, sf), sequences, KEY)
+    texts = _texts(spark, sf)
+    return _by_category(spark, sf, lambda _, sequences: matching.match_sequences_ordered(texts, sequences, KEY))
 
 
 @query
 def match_counts(spark, sf):
-    keywords, sequences = _first_category(network(spark, sf))
     texts = _texts(spark, sf)
-    return matching.match_counts(
+    return _by_category(spark, sf, lambda keywords, sequences: matching.match_counts(
         matching.match_substrings(texts, keywords, KEY), matching.match_sequences_ordered(texts, sequences, KEY),
         keywords, sequences, KEY,
-    )
+    ))
 
 
 @query
 def pattern_similarity(spark, sf):
-    patterns = scoring.patterns_of(*_first_category(network(spark, sf)))
-    found = scoring.pattern_similarity(scoring.text_terms(_texts(spark, sf), KEY), patterns, KEY)
-    return found.select(*KEY, "kind", "pos", "is_sufficient", text_of(F.col("sim")).alias("sim"))
+    terms = scoring.text_terms(_texts(spark, sf), KEY)
+    found = _by_category(spark, sf, lambda keywords, sequences: scoring.pattern_similarity(terms, scoring.patterns_of(keywords, sequences), KEY))
+    return found.select("category", *KEY, "kind", "pos", "is_sufficient", text_of(F.col("sim")).alias("sim"))
 
 
 def _scored(spark, sf, **options) -> DataFrame:
-    keywords, sequences = _first_category(network(spark, sf))
-    return scoring.score_descriptions(_texts(spark, sf), keywords, sequences, KEY, **options)
+    texts = _texts(spark, sf)
+    return _by_category(spark, sf, lambda keywords, sequences: scoring.score_descriptions(texts, keywords, sequences, KEY, **options))
 
 
 @query
@@ -505,7 +529,7 @@ def row_report(spark, sf):
         F.col("doc_id").alias("row_id"), first_line(F.col("text")).alias("short"), F.col("text").alias("description")
     )
     value = F.struct("label", "percentage")
-    scored = _scored(spark, sf).groupBy("row_id").agg(
+    scored = _scored(spark, sf).groupBy("category", "row_id").agg(
         F.max(F.when(F.col("field") == "short_description", value)).alias("s"),
         F.max(F.when(F.col("field") == "description", value)).alias("d"),
     )
@@ -513,7 +537,7 @@ def row_report(spark, sf):
         ("Short description", F.col("short"), F.col("s.label"), F.col("s.percentage")),
         ("Description", F.col("description"), F.col("d.label"), F.col("d.percentage")),
     ])
-    return rows.join(scored, "row_id").select("row_id", report.alias("report"))
+    return rows.join(scored, "row_id").select("category", "row_id", report.alias("report"))
 
 
 # --- annotations and labels --------------------------------------------------------------------------

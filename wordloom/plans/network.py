@@ -52,13 +52,15 @@ def build_network(
     min_weight: float = graph.MIN_WEIGHT,
     sample: int | None = None,
     sequence_cap: int | None = None,
+    built: tuple[DataFrame, DataFrame] | None = None,
 ) -> Network:
     """Keywords of ``corpus(doc_id, category, text)`` with their neighbours and paths.
 
     All keywords, edges and paths, unless the caller asks for a vocabulary cap, for paths between a sample of
-    the nodes, or for the first paths only.
+    the nodes, or for the first paths only. ``built`` takes a keyword graph of the corpus that is at hand already.
+    All tables but the refined edges are written once and read from there.
     """
-    ranked, links = keyword_graph(corpus, cap, threshold)
+    ranked, links = built or keyword_graph(corpus, cap, threshold)
     edges = graph.refine(links, rounds, min_weight)
     enough = graph.node_sufficiency(ranked, edges, min_weight=min_weight)
     near = graph.connected(edges).select("category", F.col("keyword").alias("term"), "nested")
@@ -77,4 +79,4 @@ def build_network(
     sequences = graph.path_sufficiency(found, edges, min_weight=min_weight).select(
         "category", (F.col("path_id") - 1).alias("pos"), F.col("path").alias("sequence"), "ranks", "is_sufficient"
     )
-    return Network(ranked, links, edges, keywords, sequences)
+    return Network(ranked, links, edges, keywords, stage(sequences, "network-sequences"))

@@ -414,15 +414,12 @@ CTES["ord"] = (
     "SELECT DISTINCT t.row_id, t.field, s.pos, s.sequence, s.is_sufficient FROM spaced t JOIN fs_like p ON t.line LIKE p.pattern "
     "JOIN fs s ON s.sequence = p.sequence"
 )
-oracle("match_substrings", "SELECT row_id, field, pos FROM sub")
-oracle("match_sequences_ordered", "SELECT row_id, field, pos FROM ord")
 CTES["hits"] = "SELECT row_id, field, 'k' AS kind, pos, is_sufficient FROM sub UNION ALL SELECT row_id, field, 's', pos, is_sufficient FROM ord"
 CTES["counted"] = (
     "SELECT row_id, field, count(*) FILTER (kind = 'k' AND is_sufficient) AS suff_keywords, "
     "count(*) FILTER (kind = 'k' AND NOT is_sufficient) AS insuff_keywords, count(*) FILTER (kind = 's' AND is_sufficient) AS suff_sequences, "
     "count(*) FILTER (kind = 's' AND NOT is_sufficient) AS insuff_sequences FROM hits GROUP BY row_id, field"
 )
-oracle("match_counts", "SELECT * FROM counted")
 CTES["pat"] = (
     "SELECT 'k' AS kind, pos, is_sufficient, keyword AS text FROM fk UNION ALL "
     "SELECT 's', pos, is_sufficient, array_to_string(sequence, ' ') FROM fs"
@@ -490,18 +487,31 @@ def score_ctes(prefix: str, terms: str, failing: str) -> None:
 
 score_ctes("plain_", "txt_terms", "not sufficient")
 score_ctes("more_", "more_terms", "insufficient")
-oracle("pattern_similarity", "SELECT row_id, field, kind, pos, is_sufficient, round(sim, 6) AS sim FROM plain_sim")
-oracle("score_description", "SELECT * FROM plain_scored")
-oracle("score_description_enhanced", "SELECT * FROM more_scored")
 CTES["report_rows"] = (
     f"SELECT d.doc_id AS row_id, {FIRST_LINE} AS short, d.text AS long, s.label AS l1, s.percentage AS p1, e.label AS l2, e.percentage AS p2 FROM documents d "
     "JOIN plain_scored s ON s.row_id = d.doc_id AND s.field = 'short_description' JOIN plain_scored e ON e.row_id = d.doc_id AND e.field = 'description'"
 )
-oracle(
+BOUND = [name for name in list(CTES)[list(CTES).index("fk") :] if name not in ("texts", "spaced", "txt_words", "txt_terms")]
+for _name in BOUND:
+    CTES[f"other_{_name}"] = re.sub(r"\b(" + "|".join(BOUND) + r")\b", r"other_\1", CTES[_name]).replace("'automatable'", "'non_automatable'")
+
+
+def per_category(name: str, columns: str, source: str) -> None:
+    """The same from the tables of each category's network."""
+    oracle(name, f"SELECT 'automatable' AS category, {columns} FROM {source} UNION ALL SELECT 'non_automatable', {columns} FROM other_{source}")
+
+
+per_category("match_substrings", "row_id, field, pos", "sub")
+per_category("match_sequences_ordered", "row_id, field, pos", "ord")
+per_category("match_counts", "*", "counted")
+per_category("pattern_similarity", "row_id, field, kind, pos, is_sufficient, round(sim, 6) AS sim", "plain_sim")
+per_category("score_description", "*", "plain_scored")
+per_category("score_description_enhanced", "*", "more_scored")
+per_category(
     "row_report",
-    "SELECT row_id, concat_ws(chr(10), 'Row ' || row_id || ':', '  Short description: ' || coalesce(short, ''), "
+    "row_id, concat_ws(chr(10), 'Row ' || row_id || ':', '  Short description: ' || coalesce(short, ''), "
     "'    Sufficiency: ' || l1 || ', Percentage: ' || printf('%.2f', p1) || '%', '  Description: ' || coalesce(long, ''), "
-    "'    Sufficiency: ' || l2 || ', Percentage: ' || printf('%.2f', p2) || '%', repeat('-', 50)) AS report FROM report_rows",
+    "'    Sufficiency: ' || l2 || ', Percentage: ' || printf('%.2f', p2) || '%', repeat('-', 50)) AS report", "report_rows",
 )
 
 # --- annotations and labels --------------------------------------------------------------------------

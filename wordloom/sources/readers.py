@@ -16,6 +16,9 @@ NETWORK_SCHEMA = (
     f"Category string, pos bigint, Keyword {KEYWORD}, Sequence {SEQUENCE}, Keywords array<{KEYWORD}>, Sequences array<{SEQUENCE}>"
 )
 
+#: The two categories that a label tells apart (fixed values).
+CATEGORIES = ("automatable", "non_automatable")
+
 
 def scan_corpus(spark: SparkSession, paths: dict[str, str], text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Tables of several categories, one path each, as (doc_id, category, text)."""
@@ -37,7 +40,7 @@ def labelled_corpus(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def category_of(label: Column) -> Column:
-    return F.when(F.lower(label) == "automatable", "automatable").otherwise("non_automatable")
+    return F.when(F.lower(label) == CATEGORIES[0], CATEGORIES[0]).otherwise(CATEGORIES[1])
 
 
 def stage_parquet(df: DataFrame, path: str, append: bool = False) -> DataFrame:
