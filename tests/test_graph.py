@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.operators import cliques, graph, paths, similarity
+from wordloom.operators import cliques, graph, path_index, paths, similarity
 
 NODES = "category string, term string, rank bigint"
 EDGES = "category string, a string, b string, ra bigint, rb bigint, w double"
@@ -245,3 +245,38 @@ def test_sample_is_seeded(spark):
     nodes, _ = frames(spark, {(1, 2): 8.0}, 50)
     pick = lambda seed: {r.term for r in graph.sample_nodes(nodes, 10, seed).collect()}
     assert pick("a") == pick("a") and len(pick("a")) == 10 and pick("a") != pick("b")
+
+
+@pytest.mark.parametrize("seed,n,p", [(1, 9, 0.3), (2, 7, 0.9), (3, 12, 0.15)])
+def test_path_index_counts_and_reads_every_path(spark, seed, n, p):
+    nodes, edges = frames(spark, random_graph(seed, n, p), n)
+    want = [(r.n, r.max_len, r.path, r.ranks) for r in paths.simple_paths(nodes, edges).orderBy("n").collect()]
+    index = path_index.path_index(edges).cache()
+    counted = {}
+    for _, limit, _, ranks in want:
+        counted[ranks[0], limit, ranks[-1]] = counted.get((ranks[0], limit, ranks[-1]), 0) + 1
+    assert {(r.rs, r.max_len, r.rt): r.n_paths for r in index.collect()} == counted
+    assert index.agg(F.sum("n_paths")).first()[0] == len(want)
+    for low, high in ((1, len(want)), (3, 3), (len(want) // 2, len(want) // 2 + 10), (len(want) + 1, len(want) + 9)):
+        got = [(r.n, r.max_len, r.path, r.ranks) for r in path_index.read_paths(index, edges, low, high).orderBy("n").collect()]
+        assert got == want[low - 1 : high]
+
+
+def test_path_index_between_given_ends(spark):
+    nodes, edges = frames(spark, random_graph(5, 10, 0.4), 10)
+    some = nodes.filter("rank IN (1, 4, 5, 9)")
+    want = [(r.max_len, r.ranks) for r in paths.simple_paths(some, edges).orderBy("n").collect()]
+    index = path_index.path_index(edges, some)
+    got = path_index.read_paths(index, edges, 1, len(want)).orderBy("n").collect()
+    assert [(r.max_len, r.ranks) for r in got] == want and index.agg(F.sum("n_paths")).first()[0] == len(want)
+
+
+def test_path_index_of_a_large_clique_has_no_row_per_path(spark):
+    n = 120
+    nodes, edges = frames(spark, {(i, j): 10.0 for i, j in itertools.combinations(range(1, n + 1), 2)}, n)
+    index = path_index.path_index(edges)
+    counts = {r.max_len: (r.c, r.n) for r in index.groupBy("max_len").agg(F.count("*").alias("c"), F.sum("n_paths").alias("n")).collect()}
+    pairs = n * (n - 1)
+    assert counts == {2: (pairs, pairs * (1 + n - 2)), 3: (pairs, pairs * (1 + n - 2 + (n - 2) * (n - 3)))}
+    last = counts[2][1] + counts[3][1]
+    assert [r.n for r in path_index.read_paths(index, edges, last - 2, last + 5).orderBy("n").collect()] == [last - 2, last - 1, last]

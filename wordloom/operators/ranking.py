@@ -32,6 +32,21 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
     return placed.join(first, list(by)).select(*df.columns, (F.col("_pos") - F.col("_first") + 1).alias(name))
 
 
+def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over the rows before each row of its group, by a total order.
+
+    As ``number_rows``: slices by range, sums within each, and the totals of the slices before, less what precedes the group.
+    """
+    placed = stage(df.orderBy(*by, *order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    placed = placed.withColumn("_slice", F.shiftright("_at", 33))
+    totals = placed.groupBy("_slice").agg(F.sum(value).alias("_total"))
+    before = totals.select("_slice", (F.sum("_total").over(Window.orderBy("_slice")) - F.col("_total")).alias("_before"))
+    here = F.sum(value).over(Window.partitionBy("_slice").orderBy("_at"))
+    summed = placed.withColumn("_sum", here - F.col(value)).join(before, "_slice").withColumn("_sum", F.col("_sum") + F.col("_before"))
+    first = summed.groupBy(*by).agg(F.min("_sum").alias("_first"))
+    return summed.join(first, list(by)).select(*df.columns, (F.col("_sum") - F.col("_first")).alias(name))
+
+
 def versions(history: DataFrame, doc: str, at: Sequence[str], content: str) -> DataFrame:
     """Version number of each state of a document, and whether it differs from the one before."""
     hashed = history.select(doc, *at, F.md5(content).alias("content_hash"))

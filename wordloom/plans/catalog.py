@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordloom.functions import records
 from wordloom.functions.lexicon import POLARITY
 from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, once, preview, rows_of
-from wordloom.operators import cliques, documents, graph, matching, paths, ranking, routing, scoring, tfidf, vectors
+from wordloom.operators import cliques, documents, graph, matching, path_index, paths, ranking, routing, scoring, tfidf, vectors
 from wordloom.operators.similarity import vector_edges
 from wordloom.plans.network import Network, build_network, corpus_weights, keyword_graph
 from wordloom.session import new_path, spread, stage
@@ -376,11 +376,22 @@ def _sequences(spark, sf) -> DataFrame:
 
 @query
 def simple_paths(spark, sf):
+    """All simple paths, as counts and numbers per source, limit and target."""
+    ranked, links = whole_graph(spark, sf)
+    name = lambda key, alias: ranked.select("category", F.col("rank").alias(key), F.col("term").alias(alias))
+    index = path_index.path_index(links).join(name("rs", "source"), ["category", "rs"]).join(name("rt", "target"), ["category", "rt"])
+    return index.select("category", "source", "max_len", "target", "n_paths", "first")
+
+
+@query
+def simple_paths_sampled(spark, sf):
+    """The first paths between sampled nodes, written out."""
     return _sequences(spark, sf).select("category", "n", "max_len", F.array_join("path", " ").alias("path"))
 
 
 @query
-def nested_sequences(spark, sf):
+def nested_sequences_sampled(spark, sf):
+    """The parts of the first paths between sampled nodes."""
     parts = _sequences(spark, sf).select("category", "n", F.posexplode(paths.sub_sequences(F.col("path"))).alias("pos", "part"))
     return parts.select("category", "n", F.col("pos").cast("bigint").alias("pos"), F.array_join("part", " ").alias("part"))
 

@@ -332,14 +332,31 @@ def path_ctes(prefix: str, edges: str, cap: int = 500) -> None:
 
 path_ctes("lp_", "links")
 path_ctes("np_", REFINED)
-oracle("simple_paths", "SELECT category, n, CAST(max_len AS BIGINT) AS max_len, array_to_string(path, ' ') AS path FROM lp_paths")
+oracle("simple_paths_sampled", "SELECT category, n, CAST(max_len AS BIGINT) AS max_len, array_to_string(path, ' ') AS path FROM lp_paths")
 oracle(
-    "nested_sequences",
+    "nested_sequences_sampled",
     "SELECT category, n, row_number() OVER (PARTITION BY category, n ORDER BY size, start) - 1 AS pos, "
     "array_to_string(path[start:start + size - 1], ' ') AS part FROM (SELECT category, n, path, size, unnest(range(1, len(path) - size + 2)) AS start "
     "FROM (SELECT category, n, path, unnest(range(2, len(path) + 1)) AS size FROM lp_paths))",
 )
 
+CTES["path_ends"] = (
+    "SELECT category, rn AS rs, rp AS rt, 1 AS size, count(*) AS n FROM linked GROUP BY ALL UNION ALL "
+    "SELECT x.category, x.rn, y.rp, 2, count(*) FROM linked x JOIN linked y ON y.category = x.category AND y.rn = x.rp WHERE y.rp <> x.rn GROUP BY ALL UNION ALL "
+    "SELECT x.category, x.rn, z.rp, 3, count(*) FROM linked x JOIN linked y ON y.category = x.category AND y.rn = x.rp "
+    "JOIN linked z ON z.category = y.category AND z.rn = y.rp WHERE y.rp <> x.rn AND z.rp <> x.rn AND z.rp <> x.rp GROUP BY ALL"
+)
+CTES["path_counts"] = (
+    "SELECT e.category, e.rs, m.max_len, e.rt, CAST(sum(e.n) AS BIGINT) AS n_paths FROM path_ends e "
+    "JOIN (SELECT unnest([2, 3]) AS max_len) m ON e.size <= m.max_len GROUP BY ALL"
+)
+oracle(
+    "simple_paths",
+    "SELECT p.category, s.term AS source, CAST(p.max_len AS BIGINT) AS max_len, t.term AS target, n_paths, "
+    "CAST(sum(n_paths) OVER (PARTITION BY p.category ORDER BY p.rs, p.max_len, p.rt) - n_paths + 1 AS BIGINT) AS first FROM path_counts p "
+    "JOIN c_keywords s ON s.category = p.category AND s.rank = p.rs JOIN c_keywords t ON t.category = p.category AND t.rank = p.rt",
+)
+
 # --- network -----------------------------------------------------------------------------------------
 
 CTES["nk"] = "SELECT category, rank, rank - 1 AS pos, term AS keyword, n_nodes, is_sufficient FROM net_nodes"
