@@ -6,6 +6,7 @@ import contextlib
 import json
 import os
 import sys
+import threading
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -30,6 +31,9 @@ HEADLINE = (
     "route_documents",
 )
 
+#: Seconds after which a query is given up.
+LIMIT = int(os.environ.get("BENCH_LIMIT", "300"))
+
 
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -45,15 +49,23 @@ def main() -> None:
         })
         spark.sparkContext.setLogLevel("ERROR")
         spark.range(1000).selectExpr("sum(id)").collect()
-        times = {}
+        times, failed = {}, {}
         for name in names:
             start = time.perf_counter()
-            QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+            guard = threading.Timer(LIMIT, spark.sparkContext.cancelAllJobs)
+            guard.start()
+            try:
+                QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+            except Exception as error:  # noqa: BLE001 - the others are still to be timed
+                failed[name] = str(error).splitlines()[0][:200]
+            finally:
+                guard.cancel()
             times[name] = round(time.perf_counter() - start, 3)
+            print(name, times[name], failed.get(name, ""), file=sys.stderr, flush=True)
         spark.stop()
     print(json.dumps({
         "metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf"),
+        "queries": times, **({"failed": failed} if failed else {}), "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf"),
     }))
 
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.operators import cliques, graph, path_index, paths, similarity
+from wordloom.operators import cliques, graph, path_index, paths, quotient, similarity
 
 NODES = "category string, term string, rank bigint"
 EDGES = "category string, a string, b string, ra bigint, rb bigint, w double"
@@ -280,3 +280,54 @@ def test_path_index_of_a_large_clique_has_no_row_per_path(spark):
     assert counts == {2: (pairs, pairs * (1 + n - 2)), 3: (pairs, pairs * (1 + n - 2 + (n - 2) * (n - 3)))}
     last = counts[2][1] + counts[3][1]
     assert [r.n for r in path_index.read_paths(index, edges, last - 2, last + 5).orderBy("n").collect()] == [last - 2, last - 1, last]
+
+
+def blown_up(spark, sizes, links):
+    """A graph between classes of given sizes, and the same between their members."""
+    ranks, at = {}, 0
+    order = [c for c, m in sizes.items() for _ in range(m)]
+    random.Random(2).shuffle(order)
+    for c in order:
+        at += 1
+        ranks.setdefault(c, []).append(at)
+    first = {c: min(r) for c, r in ranks.items()}
+    rows = [("c", *sorted((first[x], first[y])), w / 10) for (x, y), w in links.items()]
+    columns = similarity.ColumnGraph(
+        spark.createDataFrame([("c", first[c], m) for c, m in sizes.items()], "category string, class bigint, size bigint"),
+        spark.createDataFrame([("c", first[c], name(r), r) for c in sizes for r in ranks[c]], "category string, class bigint, term string, rank bigint"),
+        spark.createDataFrame(rows, "category string, ca bigint, cb bigint, sim double"),
+    )
+    edges = {tuple(sorted((i, j))): w for (x, y), w in links.items() for i in ranks[x] for j in ranks[y]}
+    edges |= {pair: 10.0 for r in ranks.values() for pair in itertools.combinations(sorted(r), 2)}
+    return columns, edges, at
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quotient_graph_equals_the_graph_of_members(spark, seed):
+    rnd = random.Random(seed)
+    sizes = {c: rnd.choice([1, 1, 2, 4]) for c in range(8)}
+    links = {(x, y): round(rnd.uniform(7.01, 9.9), 3) for x, y in itertools.combinations(range(8), 2) if rnd.random() < 0.3}
+    columns, edges, n = blown_up(spark, sizes, links)
+    nodes, plain = frames(spark, edges, n)
+    kinds = ["category", "a", "b", "ra", "rb", "w"]
+    flat = lambda df: sorted((*r[:5], round(r.w, 8)) for r in df.select(*kinds).collect())
+    assert flat(similarity.member_edges(columns)) == flat(plain)
+    refined, want = quotient.refine(columns, 2), graph.refine(plain, 2)
+    assert flat(quotient.expand(columns, refined)) == flat(want)
+    for some, expanded in ((quotient.class_edges(columns), plain), (refined, want)):
+        for low in (7.0, 8.5, 11.0):
+            a = sorted(map(tuple, quotient.node_sufficiency(columns, some, min_weight=low).collect()))
+            assert a == sorted(map(tuple, graph.node_sufficiency(nodes, expanded, min_weight=low).collect()))
+
+
+def test_a_class_of_3000_equal_columns_is_one_row(spark):
+    columns, _, _ = blown_up(spark, {"big": 3000, "x": 2, "y": 1}, {})
+    first = {r["size"]: r["class"] for r in columns.classes.collect()}
+    links = spark.createDataFrame([("c", *sorted((first[3000], first[2])), 0.95)], columns.links.schema)
+    columns = similarity.ColumnGraph(columns.classes, columns.members, links)
+    rows = {r["size"]: r for r in quotient.class_sufficiency(columns, quotient.class_edges(columns)).collect()}
+    assert (rows[3000].n_nodes, rows[3000].strong_edges) == (3002, 3000 * 2999 // 2 + 3000 * 2 + 1)
+    assert (rows[2].n_nodes, rows[2].strong_edges) == (3002, 3000 * 2999 // 2 + 3000 * 2 + 1)
+    assert (rows[1].n_nodes, rows[1].strong_edges, rows[1].is_sufficient) == (1, 0, False)
+    near = {r["size"]: [(n["size"], n.weight) for n in r.nested] for r in quotient.class_neighbours(columns, quotient.class_edges(columns)).collect()}
+    assert near == {3000: [(2, 9.5)], 2: [(3000, 9.5)], 1: []}

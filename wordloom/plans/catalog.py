@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from wordloom.functions import records
 from wordloom.functions.lexicon import POLARITY
 from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, once, preview, rows_of
-from wordloom.operators import cliques, documents, graph, matching, path_index, paths, ranking, routing, scoring, tfidf, vectors
-from wordloom.operators.similarity import vector_edges
-from wordloom.plans.network import Network, build_network, corpus_weights, keyword_graph
+from wordloom.operators import cliques, documents, graph, matching, path_index, paths, quotient, ranking, routing, scoring, tfidf, vectors
+from wordloom.operators.similarity import ColumnGraph, member_edges, vector_edges
+from wordloom.plans.network import Network, build_network, corpus_weights, keyword_classes, keyword_graph
 from wordloom.session import new_path, spread, stage
 from wordloom.sources import readers, writers
 
@@ -61,15 +61,21 @@ def written_once(spark: SparkSession, sf: str, name: str, build: Callable):
     return _written[key]
 
 
+def whole_classes(spark: SparkSession, sf: str) -> tuple[DataFrame, ColumnGraph]:
+    """Ranked keywords and the graph between their classes."""
+    return written_once(spark, sf, "classes", lambda: keyword_classes(corpus(spark, sf)))
+
+
 def whole_graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Ranked keywords and their edges."""
-    return written_once(spark, sf, "graph", lambda: keyword_graph(corpus(spark, sf)))
+    ranked, columns = whole_classes(spark, sf)
+    return ranked, written_once(spark, sf, "links", lambda: stage(member_edges(columns), "links"))
 
 
 def network(spark: SparkSession, sf: str) -> Network:
     """All keywords and edges; the first paths between sampled nodes."""
     return written_once(spark, sf, "network", lambda: build_network(
-        corpus(spark, sf), sample=SAMPLED_NODES, sequence_cap=FIRST_PATHS, built=whole_graph(spark, sf)
+        corpus(spark, sf), sample=SAMPLED_NODES, sequence_cap=FIRST_PATHS, built=whole_classes(spark, sf)
     ))
 
 
@@ -302,7 +308,18 @@ def similarity_edges(spark, sf):
 
 @query
 def refine_edges(spark, sf):
-    return _shown(graph.refine(whole_graph(spark, sf)[1], rounds=3, cap=None))
+    _, columns = whole_classes(spark, sf)
+    return _shown(quotient.expand(columns, quotient.refine(columns, rounds=3)))
+
+
+@query
+def class_links(spark, sf):
+    """Classes of equal columns with their sizes, and each class that is linked to them."""
+    _, columns = whole_classes(spark, sf)
+    rows = quotient.class_neighbours(columns, quotient.class_edges(columns)).select("category", "class", "size", F.explode_outer("nested").alias("n"))
+    return rows.select(
+        "category", "class", "size", F.col("n.class").alias("linked"), F.col("n.size").alias("linked_size"), F.col("n.weight").alias("weight")
+    )
 
 
 @query
@@ -321,10 +338,9 @@ def connected_keywords(spark, sf):
 
 @query
 def node_sufficiency(spark, sf):
-    ranked, links = whole_graph(spark, sf)
-    return graph.node_sufficiency(ranked, links, min_weight=8.0).select(
-        "category", "term", "n_nodes", "strong_edges", "is_sufficient"
-    )
+    _, columns = whole_classes(spark, sf)
+    edges = stage(quotient.class_edges(columns), "class-edges")
+    return quotient.node_sufficiency(columns, edges, min_weight=8.0).select("category", "term", "n_nodes", "strong_edges", "is_sufficient")
 
 
 @query

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import clean_tokens
-from wordloom.operators import graph, paths, tfidf
-from wordloom.operators.similarity import term_edges
+from wordloom.operators import graph, paths, quotient, tfidf
+from wordloom.operators.similarity import ColumnGraph, column_graph, member_edges
 from wordloom.session import stage
 
 
@@ -37,11 +37,17 @@ def corpus_weights(corpus: DataFrame, cap: int | None = None, keep_empty: bool =
     return tfidf.tfidf(tokens, statistics, vocabulary)
 
 
-def keyword_graph(corpus: DataFrame, cap: int | None = None, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Ranked keywords and the edges between them, over all keywords unless the caller caps the vocabulary."""
+def keyword_classes(corpus: DataFrame, cap: int | None = None, threshold: float = THRESHOLD) -> tuple[DataFrame, ColumnGraph]:
+    """Ranked keywords and the graph between their classes of equal columns."""
     weights = stage(corpus_weights(corpus, cap), "weights")
     ranked = stage(tfidf.rank_terms(tfidf.filter_keywords(tfidf.term_scores(weights))), "keywords")
-    return ranked, stage(term_edges(weights, ranked, threshold), "links")
+    return ranked, column_graph(weights, ranked, threshold)
+
+
+def keyword_graph(corpus: DataFrame, cap: int | None = None, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Ranked keywords and the edges between them, over all keywords unless the caller caps the vocabulary."""
+    ranked, columns = keyword_classes(corpus, cap, threshold)
+    return ranked, stage(member_edges(columns), "links")
 
 
 def build_network(
@@ -52,17 +58,18 @@ def build_network(
     min_weight: float = graph.MIN_WEIGHT,
     sample: int | None = None,
     sequence_cap: int | None = None,
-    built: tuple[DataFrame, DataFrame] | None = None,
+    built: tuple[DataFrame, ColumnGraph] | None = None,
 ) -> Network:
     """Keywords of ``corpus(doc_id, category, text)`` with their neighbours and paths.
 
     All keywords, edges and paths, unless the caller asks for a vocabulary cap, for paths between a sample of
-    the nodes, or for the first paths only. ``built`` takes a keyword graph of the corpus that is at hand already.
-    All tables but the refined edges are written once and read from there.
+    the nodes, or for the first paths only. ``built`` takes the classes of the corpus that are at hand already.
+    Refinement and sufficiency are taken on the classes; all tables are written once and read from there.
     """
-    ranked, links = built or keyword_graph(corpus, cap, threshold)
-    edges = graph.refine(links, rounds, min_weight)
-    enough = graph.node_sufficiency(ranked, edges, min_weight=min_weight)
+    ranked, columns = built or keyword_classes(corpus, cap, threshold)
+    refined = quotient.refine(columns, rounds, min_weight)
+    links, edges = stage(member_edges(columns), "links"), stage(quotient.expand(columns, refined), "edges")
+    enough = quotient.node_sufficiency(columns, refined, min_weight=min_weight)
     near = graph.connected(edges).select("category", F.col("keyword").alias("term"), "nested")
     none = F.array().cast(near.schema["nested"].dataType)
     keywords = stage(

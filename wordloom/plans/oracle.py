@@ -217,6 +217,17 @@ oracle(
 )
 
 CTES["linked"] = two_way("links")
+CTES["column_lists"] = "SELECT category, rank, list({'d': doc_id, 'u': round(u, 9)} ORDER BY doc_id) AS cells FROM c_columns GROUP BY category, rank"
+CTES["column_class"] = "SELECT category, rank, min(rank) OVER (PARTITION BY category, cells) AS class, count(*) OVER (PARTITION BY category, cells) AS size FROM column_lists"
+CTES["class_pairs"] = (
+    "SELECT x.category, x.class, y.class AS linked, y.size AS linked_size, max(l.w) AS weight FROM linked l "
+    "JOIN column_class x ON x.category = l.category AND x.rank = l.rn JOIN column_class y ON y.category = l.category AND y.rank = l.rp WHERE x.class <> y.class GROUP BY ALL"
+)
+oracle(
+    "class_links",
+    "SELECT c.category, c.class, c.size, p.linked, p.linked_size, p.weight FROM (SELECT DISTINCT category, class, size FROM column_class) c "
+    "LEFT JOIN class_pairs p ON p.category = c.category AND p.class = c.class",
+)
 oracle(
     "connected_keywords",
     "SELECT category, node AS keyword, count(*) AS degree, "
