@@ -331,3 +331,52 @@ def test_a_class_of_3000_equal_columns_is_one_row(spark):
     assert (rows[1].n_nodes, rows[1].strong_edges, rows[1].is_sufficient) == (1, 0, False)
     near = {r["size"]: [(n["size"], n.weight) for n in r.nested] for r in quotient.class_neighbours(columns, quotient.class_edges(columns)).collect()}
     assert near == {3000: [(2, 9.5)], 2: [(3000, 9.5)], 1: []}
+
+
+def test_cliques_and_paths_of_classes_are_those_of_the_keywords(spark):
+    rnd = random.Random(5)
+    sizes = dict(enumerate([1, 3, 2, 1, 1, 2], 1))
+    terms, members = {}, []
+    ranks = list(range(1, sum(sizes.values()) + 1))
+    rnd.shuffle(ranks)
+    for c, m in sizes.items():
+        own = sorted(ranks.pop() for _ in range(m))
+        terms[c] = own
+        members += [("c", own[0], name(r), r) for r in own]
+    links = {(c, d): round(rnd.uniform(0.91, 0.99), 3) for c, d in itertools.combinations(sizes, 2) if rnd.random() < 0.45}
+    n = len(members)
+    edges = {tuple(sorted((x, y))): round(w * 10, 10) for (c, d), w in links.items() for x in terms[c] for y in terms[d]}
+    edges |= {(x, y): 10.0 for own in terms.values() for x, y in itertools.combinations(own, 2)}
+    columns = similarity.ColumnGraph(
+        spark.createDataFrame([("c", own[0], len(own)) for own in terms.values()], "category string, class bigint, size bigint"),
+        spark.createDataFrame(members, "category string, class bigint, term string, rank bigint"),
+        spark.createDataFrame([("c", *sorted((terms[c][0], terms[d][0])), w) for (c, d), w in links.items()], "category string, ca bigint, cb bigint, sim double"),
+    )
+    nodes, heads = quotient.named(columns, quotient.class_edges(columns))
+    of = {name(own[0]): own for own in terms.values()}
+    found = quotient.class_cliques(nodes, heads)
+    got = {tuple(sorted(r for m in row.members for r in of[m])): row.size for row in found.collect()}
+    want = brute_cliques(edges, n)
+    assert set(got) == want and all(len(k) == v for k, v in got.items())
+    nests = sorted(tuple(r.nest) for r in quotient.nested_keywords(columns, found).collect())
+    assert sorted(x for nest in nests for x in nest) == sorted(m[2] for m in members)
+    term_nodes, term_edges = frames(spark, edges, n)
+    short = {(r.source, r.target): (r.path, r.cost) for r in paths.shortest_paths(term_edges).collect()}
+    short |= {(t, s): (p[::-1], c) for (s, t), (p, c) in short.items()}
+    classed = quotient.class_paths(heads).collect()
+    for r in classed:
+        for s, t in itertools.product(of[r.source], of[r.target]):
+            there, cost = short[name(s), name(t)]
+            assert cost == r.cost and len(there) == len(r.path)
+    ends = [m[2] for m in members]
+    head = {name(x): name(own[0]) for own in terms.values() for x in own}
+    assert {frozenset((head[s], head[t])) for s, t in short if head[s] != head[t]} == {frozenset((r.source, r.target)) for r in classed}
+    assert all(c == 10.0 for (s, t), (_, c) in short.items() if head[s] == head[t]) and set(head) == set(ends)
+
+
+def test_a_hub_sends_none_of_its_pairs(spark):
+    n = 400
+    edges = {(1, i): 9.5 for i in range(2, n + 1)} | {(2, 3): 9.5, (3, 4): 9.5}
+    nodes, df = frames(spark, edges, n)
+    found = {tuple(r.ranks) for r in cliques.maximal_cliques(nodes, df).collect()}
+    assert found == {(1, 2, 3), (1, 3, 4)} | {(1, i) for i in range(5, n + 1)}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators import graph
+from wordloom.operators import cliques, graph, paths
 from wordloom.operators.similarity import WEIGHT_SCALE, ColumnGraph
 from wordloom.session import stage
 
@@ -107,3 +107,44 @@ def node_sufficiency(columns: ColumnGraph, edges: DataFrame, min_size: int = gra
     """(category, term, rank, n_nodes, strong_edges, is_sufficient) of every term, from its class."""
     told = class_sufficiency(columns, edges, min_size, min_weight).drop("size")
     return columns.members.join(told, ["category", "class"]).select("category", "term", "rank", "n_nodes", "strong_edges", "is_sufficient")
+
+
+def named(columns: ColumnGraph, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes as nodes (category, term, rank, size) and class edges between them: the class number as rank, its first keyword by name as term."""
+    first = columns.members.groupBy("category", "class").agg(F.min("term").alias("term"))
+    nodes = stage(first.join(columns.classes, ["category", "class"]).select("category", "term", F.col("class").alias("rank"), "size"), "class-nodes")
+    side = lambda key, name: nodes.select("category", F.col("rank").cast("string").alias(key), F.col("term").alias(name), F.col("rank").alias("r" + name))
+    across = edges.select("category", F.col("a").alias("ca"), F.col("b").alias("cb"), "w").join(side("ca", "a"), ["category", "ca"]).join(side("cb", "b"), ["category", "cb"])
+    return nodes, stage(across.select("category", "a", "b", "ra", "rb", "w"), "named-edges")
+
+
+def class_cliques(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(category, members, ranks, size): the maximal cliques of the classes, ``size`` being their number of keywords.
+
+    Members of a class are linked to each other and to the same others, so a maximal clique of keywords holds all of a
+    class or none of it: these are the cliques of the keywords, with one entry per class.
+    """
+    found = stage(cliques.maximal_cliques(nodes, edges).drop("size"), "cliques")
+    sizes = found.select("category", "ranks", F.explode("ranks").alias("rank")).join(nodes.select("category", "rank", "size"), ["category", "rank"])
+    sizes = sizes.groupBy("category", "ranks").agg(F.sum("size").cast("bigint").alias("size"))
+    return stage(found.join(sizes, ["category", "ranks"]).select("category", "members", "ranks", "size"), "class-cliques")
+
+
+def nested_keywords(columns: ColumnGraph, found: DataFrame) -> DataFrame:
+    """Each keyword under the first clique that holds it: (category, nest, size). A class goes with its first keyword."""
+    first = columns.members.groupBy("category", "class").agg(F.min("term").alias("head"))
+    heads = columns.members.join(first, ["category", "class"]).select("category", "head", "term")
+    nests = cliques.nested_keywords(found).select("category", "nest", F.explode("nest").alias("head"))
+    return nests.join(heads, ["category", "head"]).groupBy("category", F.col("nest").alias("heads")).agg(F.array_sort(F.collect_list("term")).alias("nest")).select(
+        "category", "nest", F.size("nest").cast("bigint").alias("size")
+    )
+
+
+def class_paths(edges: DataFrame) -> DataFrame:
+    """Cheapest path between each two connected classes, as ``paths.shortest_paths``, over their first keywords.
+
+    Members of two classes are linked alike, so a cheapest path never visits a class twice: between other members it is the same
+    path with its ends put in their place, and the first names inside are the smallest, as ties ask. Two members of
+    one class are one step apart, as any second step costs more than the full weight.
+    """
+    return paths.shortest_paths(edges)

@@ -12,7 +12,7 @@ from wordloom.functions.lexicon import POLARITY
 from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, once, preview, rows_of
 from wordloom.operators import cliques, documents, graph, matching, path_index, paths, quotient, ranking, routing, scoring, tfidf, vectors
 from wordloom.operators.similarity import ColumnGraph, member_edges, vector_edges
-from wordloom.plans.network import Network, build_network, corpus_weights, keyword_classes, keyword_graph
+from wordloom.plans.network import Network, build_network, corpus_weights, keyword_classes
 from wordloom.session import new_path, spread, stage
 from wordloom.sources import readers, writers
 
@@ -79,11 +79,6 @@ def network(spark: SparkSession, sf: str) -> Network:
     ))
 
 
-def capped_graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The variant on a capped vocabulary with looser edges."""
-    return written_once(spark, sf, "capped graph", lambda: keyword_graph(corpus(spark, sf), VOCABULARY, 0.7))
-
-
 def text_of(value: Column, digits: int = 6) -> Column:
     return F.round(value, digits)
 
@@ -355,33 +350,52 @@ def components(spark, sf):
     return graph.components(ranked, links).select("category", "term", "component")
 
 
+def class_nodes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Classes by their first keywords, and the edges between them."""
+    _, columns = whole_classes(spark, sf)
+    return written_once(spark, sf, "class nodes", lambda: quotient.named(columns, quotient.class_edges(columns)))
+
+
+def class_cliques(spark: SparkSession, sf: str) -> DataFrame:
+    return written_once(spark, sf, "class cliques", lambda: quotient.class_cliques(*class_nodes(spark, sf)))
+
+
+def class_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return written_once(spark, sf, "class paths", lambda: stage(quotient.class_paths(class_nodes(spark, sf)[1]), "class-paths"))
+
+
+@query
+def class_members(spark, sf):
+    """Each keyword with its class and the first keyword of it, by which cliques and shortest paths name the class."""
+    _, columns = whole_classes(spark, sf)
+    first = columns.members.groupBy("category", "class").agg(F.min("term").alias("head"))
+    return columns.members.join(first, ["category", "class"]).select("category", "term", "class", "head")
+
+
 @query
 def maximal_cliques(spark, sf):
-    ranked, links = capped_graph(spark, sf)
-    return cliques.maximal_cliques(ranked, links).select(
-        "category", F.array_join(F.array_sort("members"), " ").alias("members"), "size"
+    """All maximal cliques of the keyword graph, one name per class (members: ``class_members``); ``size`` counts keywords."""
+    return class_cliques(spark, sf).select(
+        "category", F.array_join(F.array_sort("members"), " ").alias("members"), F.size("members").cast("bigint").alias("n_classes"), "size"
     )
 
 
 @query
 def nested_keywords(spark, sf):
-    ranked, links = capped_graph(spark, sf)
-    found = cliques.nested_keywords(cliques.maximal_cliques(ranked, links))
+    _, columns = whole_classes(spark, sf)
+    found = quotient.nested_keywords(columns, class_cliques(spark, sf))
     return found.select("category", F.array_join("nest", " ").alias("nest"), "size")
 
 
 @query
 def shortest_paths(spark, sf):
-    _, links = capped_graph(spark, sf)
-    return paths.shortest_paths(links).select(
-        "category", "source", "target", F.array_join("path", " ").alias("path"), "cost"
-    )
+    """Cheapest paths between classes; between other members the ends alone change."""
+    return class_paths(spark, sf).select("category", "source", "target", F.array_join("path", " ").alias("path"), "cost")
 
 
 @query
 def nested_paths(spark, sf):
-    ranked, links = capped_graph(spark, sf)
-    held = cliques.nested_paths(paths.shortest_paths(links), cliques.maximal_cliques(ranked, links))
+    held = cliques.nested_paths(class_paths(spark, sf).select("category", "path"), class_cliques(spark, sf))
     return held.select("category", F.array_join("path", " ").alias("path"), F.array_join("clique", " ").alias("clique"))
 
 

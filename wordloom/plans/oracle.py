@@ -140,7 +140,6 @@ def keyword_ctes(prefix: str, tokens: str, cap: int | None) -> None:
 
 keyword_ctes("t_", "full_tok", None)
 keyword_ctes("c_", "full_tok", None)
-keyword_ctes("v_", "full_tok", 1000)
 CTES["all_full"] = "SELECT * FROM all_tok WHERE len(tokens) > 0"
 keyword_ctes("u_", "all_full", None)
 keyword_ctes("k_", "all_tok", 1000)
@@ -167,7 +166,6 @@ def link_ctes(words: str, links: str, threshold: float) -> None:
 
 
 link_ctes("c_", "links", 0.9)
-link_ctes("v_", "capped_links", 0.7)
 
 
 def two_way(edges: str) -> str:
@@ -274,19 +272,28 @@ oracle(
     "GROUP BY k.category, k.term",
 )
 
-CTES["capped_linked"] = two_way("capped_links")
-CTES["near"] = "SELECT category, rn, list(rp) AS peers FROM capped_linked GROUP BY category, rn"
-CTES["cliques_"] = (
-    "SELECT k.category, [k.term] AS members, k.rank AS last, coalesce(n.peers, []) AS common FROM v_keywords k "
-    "LEFT JOIN near n ON n.category = k.category AND n.rn = k.rank UNION ALL -- recursive\n"
-    "SELECT c.category, list_append(c.members, k.term), c.nx, list_intersect(c.common, n.peers) FROM "
-    "(SELECT category, members, last, common, unnest(list_filter(common, lambda x: x > last)) AS nx FROM cliques_) c "
-    "JOIN near n ON n.category = c.category AND n.rn = c.nx JOIN v_keywords k ON k.category = c.category AND k.rank = c.nx"
+CTES["heads"] = (
+    "SELECT c.category, c.class, c.size, min(k.term) AS head FROM column_class c JOIN c_keywords k ON k.category = c.category AND k.rank = c.rank GROUP BY ALL"
+)
+oracle(
+    "class_members",
+    "SELECT c.category, k.term, c.class, h.head FROM column_class c JOIN c_keywords k ON k.category = c.category AND k.rank = c.rank "
+    "JOIN heads h ON h.category = c.category AND h.class = c.class",
 )
-CTES["maximal"] = (
-    "SELECT category, list_sort(members) AS members, len(members) AS size FROM cliques_ WHERE len(common) = 0"
+CTES["head_links"] = (
+    "SELECT p.category, p.class AS rn, h.head AS node, p.linked AS rp, g.head AS peer, p.weight AS w FROM class_pairs p "
+    "JOIN heads h ON h.category = p.category AND h.class = p.class JOIN heads g ON g.category = p.category AND g.class = p.linked"
 )
-oracle("maximal_cliques", "SELECT category, array_to_string(members, ' ') AS members, size FROM maximal")
+CTES["near"] = "SELECT category, rn, list(rp) AS peers FROM head_links GROUP BY category, rn"
+CTES["cliques_"] = (
+    "SELECT h.category, [h.head] AS members, CAST(h.size AS BIGINT) AS size, h.class AS last, coalesce(n.peers, []) AS common FROM heads h "
+    "LEFT JOIN near n ON n.category = h.category AND n.rn = h.class UNION ALL -- recursive\n"
+    "SELECT c.category, list_append(c.members, h.head), c.size + h.size, c.nx, list_intersect(c.common, n.peers) FROM "
+    "(SELECT category, members, size, last, common, unnest(list_filter(common, lambda x: x > last)) AS nx FROM cliques_) c "
+    "JOIN near n ON n.category = c.category AND n.rn = c.nx JOIN heads h ON h.category = c.category AND h.class = c.nx"
+)
+CTES["maximal"] = "SELECT category, list_sort(members) AS members, size FROM cliques_ WHERE len(common) = 0"
+oracle("maximal_cliques", "SELECT category, array_to_string(members, ' ') AS members, len(members) AS n_classes, size FROM maximal")
 CTES["ordered_cliques"] = (
     "SELECT *, row_number() OVER (PARTITION BY category ORDER BY size DESC, members) AS turn FROM maximal"
 )
@@ -294,17 +301,19 @@ CTES["clique_words"] = "SELECT category, turn, unnest(members) AS term FROM orde
 CTES["first_clique"] = "SELECT category, term, min(turn) AS turn FROM clique_words GROUP BY category, term"
 oracle(
     "nested_keywords",
-    "SELECT category, string_agg(term, ' ' ORDER BY term) AS nest, count(*) AS size FROM first_clique GROUP BY category, turn",
+    "SELECT f.category, string_agg(k.term, ' ' ORDER BY k.term) AS nest, count(*) AS size FROM first_clique f JOIN heads h ON h.category = f.category "
+    "AND h.head = f.term JOIN column_class c ON c.category = h.category AND c.class = h.class JOIN c_keywords k ON k.category = c.category AND k.rank = c.rank "
+    "GROUP BY f.category, f.turn",
 )
 
 ROUNDS = 40
-CTES["best_0"] = "SELECT DISTINCT category, rn AS rs, rn AS rt, [node] AS path, CAST(0 AS DOUBLE) AS cost FROM capped_linked"
+CTES["best_0"] = "SELECT DISTINCT category, rn AS rs, rn AS rt, [node] AS path, CAST(0 AS DOUBLE) AS cost FROM head_links"
 for _i in range(1, ROUNDS + 1):
     CTES[f"best_{_i}"] = (
         "SELECT category, rs, rt, m.path AS path, m.cost AS cost FROM (SELECT category, rs, rt, min({'cost': cost, 'path': path}) AS m FROM "
         f"(SELECT category, rs, rt, path, cost FROM best_{_i - 1} UNION ALL "
         "SELECT b.category, b.rs, l.rp, list_append(b.path, l.peer), round(b.cost + l.w, 10) "
-        f"FROM best_{_i - 1} b JOIN capped_linked l ON l.category = b.category AND l.rn = b.rt WHERE NOT list_contains(b.path, l.peer)) "
+        f"FROM best_{_i - 1} b JOIN head_links l ON l.category = b.category AND l.rn = b.rt WHERE NOT list_contains(b.path, l.peer)) "
         "GROUP BY category, rs, rt)"
     )
 CTES["shortest"] = f"SELECT category, path, cost FROM best_{ROUNDS} WHERE rs < rt"
