@@ -12,7 +12,7 @@ from wordloom.plans.catalog import QUERIES
 SF = "/root/testdata/sf0.001"
 LONG = {
     "refine_edges", "refine_edges_capped", "connected_keywords", "node_sufficiency", "node_sample", "components", "nested_keywords",
-    "shortest_paths", "simple_paths_sampled", "nested_sequences_sampled", "network_json", "match_keywords", "match_sequences_all", "match_substrings",
+    "shortest_paths", "simple_paths_sampled", "nested_sequences_sampled", "network_json", "match_keywords", "match_sequences_sampled", "check_sufficiency_sampled", "match_substrings",
     "match_sequences_ordered", "match_counts", "pattern_similarity", "score_description", "row_report", "sufficiency_summary",
     "keyword_scores", "keywords_union", "retrieval_report", "query_prompts", "maximal_cliques",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordloom.functions import records
 from wordloom.functions.lexicon import POLARITY
 from wordloom.functions.text import clean_tokens, clean_transcript, join_texts, once, preview, rows_of
-from wordloom.operators import cliques, documents, graph, matching, path_index, paths, quotient, ranking, routing, scoring, tfidf, vectors
+from wordloom.operators import cliques, documents, graph, matching, path_index, paths, quotient, ranking, routing, scoring, sufficiency, tfidf, vectors
 from wordloom.operators.similarity import ColumnGraph, member_edges, vector_edges
 from wordloom.plans.network import Network, build_network, corpus_weights, keyword_classes
 from wordloom.session import new_path, spread, stage
@@ -79,6 +79,12 @@ def network(spark: SparkSession, sf: str) -> Network:
     ))
 
 
+def refined_classes(spark: SparkSession, sf: str) -> tuple[ColumnGraph, DataFrame]:
+    """Classes, and the refined edges of the network between them."""
+    _, columns = whole_classes(spark, sf)
+    return columns, written_once(spark, sf, "refined", lambda: stage(quotient.refine(columns), "refined"))
+
+
 def text_of(value: Column, digits: int = 6) -> Column:
     return F.round(value, digits)
 
@@ -475,6 +481,15 @@ def match_keywords(spark, sf):
 
 @query
 def match_sequences_all(spark, sf):
+    """How many of all sequences each text holds in full."""
+    columns, edges = refined_classes(spark, sf)
+    held = sufficiency.held_keywords(_validation_tokens(validation_rows(spark, sf)), columns, ["row_id"])
+    return sufficiency.sequence_counts(stage(sufficiency.held_classes(held, ["row_id"]), "held-classes"), edges, ["row_id"])
+
+
+@query
+def match_sequences_sampled(spark, sf):
+    """The first sequences between sampled nodes that each text holds in full, one by one."""
     net = network(spark, sf)
     tokens = _validation_tokens(validation_rows(spark, sf))
     return matching.match_sequences_all(tokens, net.sequences, ["row_id"], ["category"])
@@ -482,6 +497,15 @@ def match_sequences_all(spark, sf):
 
 @query
 def check_sufficiency(spark, sf):
+    """Texts against all keywords and all sequences of the network."""
+    columns, edges = refined_classes(spark, sf)
+    rows = validation_rows(spark, sf)
+    return sufficiency.check_rows(rows.select("row_id", "category"), _validation_tokens(rows), columns, edges)
+
+
+@query
+def check_sufficiency_sampled(spark, sf):
+    """Texts against all keywords and the first sequences between sampled nodes, with these spelled out."""
     net = network(spark, sf)
     rows = validation_rows(spark, sf)
     checked = matching.check_sufficiency(

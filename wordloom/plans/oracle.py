@@ -413,7 +413,7 @@ CTES["smatch"] = (
     "AND list_has_all(v.tokens, s.sequence)"
 )
 oracle("match_keywords", "SELECT row_id, category, pos, keyword FROM kmatch")
-oracle("match_sequences_all", "SELECT row_id, category, pos FROM smatch")
+oracle("match_sequences_sampled", "SELECT row_id, category, pos FROM smatch")
 CTES["member_rows"] = (
     "SELECT category, pos AS owner, keyword AS member FROM nk WHERE is_sufficient UNION ALL "
     "SELECT k.category, k.pos, s.peer FROM nk k JOIN net_seen s ON s.category = k.category AND s.rn = k.rank WHERE k.is_sufficient"
@@ -425,12 +425,36 @@ CTES["checked"] = (
     "LEFT JOIN (SELECT row_id, string_agg(keyword, ', ' ORDER BY pos) AS t FROM kmatch GROUP BY row_id) k ON k.row_id = v.row_id "
     "LEFT JOIN (SELECT row_id, string_agg(array_to_string(sequence, ', '), '; ' ORDER BY pos) AS t FROM smatch GROUP BY row_id) s ON s.row_id = v.row_id"
 )
-oracle("check_sufficiency", "SELECT row_id, category, is_sufficient, matched_keywords, matched_sequences FROM checked")
+oracle("check_sufficiency_sampled", "SELECT row_id, category, is_sufficient, matched_keywords, matched_sequences FROM checked")
+CTES["vkeys"] = "SELECT v.row_id, v.category, k.rank FROM vwords v JOIN c_keywords k ON k.category = v.category AND k.term = v.word"
+CTES["vlinks"] = (
+    "SELECT x.row_id, x.category, s.rn AS u, s.rp AS v FROM vkeys x JOIN net_seen s ON s.category = x.category AND s.rn = x.rank "
+    "JOIN vkeys y ON y.row_id = x.row_id AND y.rank = s.rp"
+)
+CTES["vdegree"] = "SELECT row_id, u, count(*) AS d FROM vlinks GROUP BY ALL"
+CTES["vcounts"] = (
+    "SELECT row_id, sum(one) AS one, sum(two) AS two, sum(three) AS three FROM (SELECT row_id, d AS one, d * (d - 1) AS two, 0 AS three FROM vdegree UNION ALL "
+    "SELECT l.row_id, 0, 0, (x.d - 1) * (y.d - 1) FROM vlinks l JOIN vdegree x ON x.row_id = l.row_id AND x.u = l.u JOIN vdegree y ON y.row_id = l.row_id AND y.u = l.v UNION ALL "
+    "SELECT p.row_id, 0, 0, -count(*) FROM vlinks p JOIN vlinks q ON q.row_id = p.row_id AND q.u = p.v JOIN vlinks r ON r.row_id = p.row_id AND r.u = q.v AND r.v = p.u "
+    "GROUP BY p.row_id) GROUP BY row_id"
+)
+CTES["vmatched"] = (
+    "SELECT k.row_id, k.category, CAST(coalesce(2 * any_value(c.one) + 2 * any_value(c.two) + any_value(c.three), 0) AS BIGINT) AS n_sequences, "
+    "CAST(coalesce(2 * any_value(c.two) + any_value(c.three), 0) AS BIGINT) AS n_sufficient FROM vkeys k LEFT JOIN vcounts c ON c.row_id = k.row_id GROUP BY k.row_id, k.category"
+)
+oracle("match_sequences_all", "SELECT row_id, category, n_sequences, n_sufficient FROM vmatched")
+CTES["whole_checked"] = (
+    "SELECT v.row_id, v.category, v.row_id IN (SELECT m.row_id FROM kmatch m JOIN member_rows o ON o.category = m.category AND o.member = m.keyword "
+    "GROUP BY m.row_id, o.owner HAVING count(*) >= 3) OR coalesce(n.n_sufficient, 0) > 0 AS is_sufficient, coalesce(k.t, '') AS matched_keywords, "
+    "coalesce(n.n_sequences, 0) AS n_sequences, coalesce(n.n_sufficient, 0) AS n_sufficient FROM validation v LEFT JOIN vmatched n ON n.row_id = v.row_id "
+    "LEFT JOIN (SELECT row_id, string_agg(keyword, ', ' ORDER BY pos) AS t FROM kmatch GROUP BY row_id) k ON k.row_id = v.row_id"
+)
+oracle("check_sufficiency", "SELECT row_id, category, is_sufficient, matched_keywords, n_sequences, n_sufficient FROM whole_checked")
 oracle(
     "sufficiency_summary",
     "SELECT count(*) AS total_rows, count(*) FILTER (is_sufficient) AS sufficient_count, count(*) FILTER (NOT is_sufficient) AS insufficient_count, "
     "round(coalesce(100.0 * count(*) FILTER (is_sufficient) / nullif(count(*), 0), 0), 6) AS sufficient_percent, "
-    "round(coalesce(100.0 * count(*) FILTER (NOT is_sufficient) / nullif(count(*), 0), 0), 6) AS insufficient_percent FROM checked",
+    "round(coalesce(100.0 * count(*) FILTER (NOT is_sufficient) / nullif(count(*), 0), 0), 6) AS insufficient_percent FROM whole_checked",
 )
 
 # --- scoring: TF-IDF refitted per text, as the definition has it ---------------------------------------
