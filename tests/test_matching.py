@@ -155,3 +155,11 @@ def test_keywords_without_a_word_character(spark):
     words = spark.createDataFrame([(0, "++"), (1, "c++"), (2, "server"), (3, "é!")], "pos bigint, keyword string")
     texts = spark.createDataFrame([(1, "C++ server"), (2, "a+b"), (3, None), (4, "É! +++")], "row_id bigint, text string")
     assert sorted(map(tuple, matching.match_substrings(texts, words, ["row_id"]).collect())) == [(1, 0), (1, 1), (1, 2), (4, 0), (4, 3)]
+
+
+def test_substrings_are_looked_up_by_their_rarest_part(spark):
+    runs = ["common%02d" % i for i in range(30)] + ["commonxyz", "xyzzy", "ab"]
+    postings = spark.createDataFrame([(r, r[i : i + 3]) for r in runs for i in range(max(len(r) - 2, 1))], "_run string, _g string").distinct()
+    wanted = spark.createDataFrame([("commonxyz",), ("common",), ("ab",), ("commonqqq",)], "_p string")
+    met = postings.join(matching.rarest_grams(wanted, postings), "_g")
+    assert {r._p: r["count"] for r in met.groupBy("_p").count().collect()} == {"commonxyz": 1, "common": 31, "ab": 1}

@@ -24,16 +24,19 @@ def test_retrieval_replies(spark):
 
 
 def test_document_replies_and_report(spark):
-    metrics = {"file_type": "DOCX", "file_size": 277362, "parse_time": 1.234, "original_length": 15783, "cleaned_length": 8942, "error_message": None}
+    metrics = {"file_type": "DOCX", "file_size": 277362, "parse_time": 1.234, "parse_start": "p", "original_length": 15783, "cleaned_length": 8942, "error_message": None}
     raws = [json.dumps({"content": "- fine", "metrics": metrics}), "I could not do it", json.dumps({"content": "c", "metrics": {"file_size": "big", "error_message": "e"}})]
     rows = records.parse_documents(spark.createDataFrame(list(enumerate(raws)), "i int, raw string"))
     report = [r[0] for r in rows.orderBy("i").select(records.document_report(F.col("content"), F.col("metrics"), F.lit("then"))).collect()]
-    for line in ("- Type: DOCX", "- Size: 270.86 KB", "- Parsing Duration: 1.23s", "- Cleaning Duration: N/A", "- Content Reduction: 6841 characters", "No errors reported by agent."):
+    for line in ("- Type: DOCX", "- Size: 270.86 KB", "1. Parsing Stage:", "   - Duration: 1.23s", "   - Started: p", "2. Cleaning Stage:", "   - Duration: N/A", "   - Started: N/A", "   - Content Reduction: 6841 characters", "No errors reported by agent."):
         assert line in report[0].split("\n")
     assert records.BAD_DOCUMENT in report[1] and "JSONDecodeError" in report[1]
     assert "- Size: Invalid Size Data" in report[2] and "### Errors during Processing\n- e" in report[2]
     images = [r[0] for r in rows.select(records.image_report(F.lit(""), F.col("metrics"), F.lit("then"))).collect()]
     assert all(i.endswith("No text extracted") for i in images)
+    at = records.utc_text(F.lit("2025-05-27 07:00:00").cast("timestamp"))
+    timed = rows.select(records.document_report(F.col("content"), F.col("metrics"), F.lit("then"), at)).first()[0]
+    assert timed.endswith("- fine\n\n### Final Output\nGenerated at: 2025-05-27T07:00:00Z")
 
 
 def test_numbers_round_by_their_exact_value(spark):

@@ -79,6 +79,29 @@ def test_scan_documents_and_reports(spark, tmp_path):
     lines = spark.createDataFrame([(2, "b"), (1, "a")], "n int, line string")
     writers.write_report_lines(lines, "line", str(tmp_path / "out"), ["n"])
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect() if r.value) == ["a", "b"]
+    writers.write_report_lines(lines, "line", str(tmp_path / "headed"), ["n"], "Results")
+    files = sorted((tmp_path / "headed").glob("part-*"))
+    assert "".join(f.read_text() for f in files) == "Results\n\na\n\nb\n\n"
+
+
+def test_result_table_keeps_input_columns(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "id int, text string")
+    results = spark.createDataFrame([(1, True)], "id int, ok boolean")
+    writers.write_results(rows, results, ["id"], str(tmp_path / "r"))
+    assert sorted((r.id, r.text, r.ok) for r in spark.read.parquet(str(tmp_path / "r")).collect() if r.text) == [(1, "a", True)]
+    assert spark.read.parquet(str(tmp_path / "r")).filter("id = 2 AND ok IS NULL").count() == 2
+    with pytest.raises(ValueError, match="text"):
+        writers.write_results(rows, results.withColumn("Text", F.lit(1)), ["id"], str(tmp_path / "s"))
+
+
+def test_corpus_from_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('doc_id,text,more\n1,"one, ""two""\nthree",x\n2,,y\n')
+    (tmp_path / "b.csv").write_text("doc_id,text,more\n3,four,z\n")
+    paths = {"a": str(tmp_path / "a.csv"), "b": str(tmp_path / "b.csv")}
+    rows = readers.scan_corpus(spark, paths, schema="doc_id bigint, text string, more string", format="csv").collect()
+    assert sorted((r.doc_id, r.category, r.text) for r in rows) == [(1, "a", 'one, "two"\nthree'), (2, "a", None), (3, "b", "four")]
+    with pytest.raises(ValueError, match="schema"):
+        readers.scan_corpus(spark, paths, format="csv")
 
 
 def test_staging_uses_the_named_folder(spark):

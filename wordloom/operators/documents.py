@@ -99,7 +99,8 @@ def compose_sections(template: DataFrame, contents: list[DataFrame]) -> DataFram
 
     Outputs of several extractors ``(section, source, item, text)`` are united and
     put under their headings. A section may hold any amount of text, so the
-    document is a sorted set of lines and not one value; order by the first four.
+    document is a sorted set of lines and not one value; order by the first four. Text of a
+    section that the template lacks has no ``pos``; order it last.
     """
     content = contents[0]
     for other in contents[1:]:
@@ -108,7 +109,7 @@ def compose_sections(template: DataFrame, contents: list[DataFrame]) -> DataFram
         "pos", F.lit(0).alias("part"), F.lit("").alias("source"), F.lit(0).cast("bigint").alias("item"),
         "section", F.col("heading").alias("line"),
     )
-    lines = content.join(template.select("section", "pos"), "section").select(
+    lines = content.join(template.select("section", "pos"), "section", "left").select(
         "pos", F.lit(1).alias("part"), "source", "item", "section", F.col("text").alias("line")
     )
     return heads.unionByName(lines)

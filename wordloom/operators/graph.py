@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.operators.ranking import number_rows
 from wordloom.session import stage
 
 MIN_WEIGHT = 7.0
@@ -73,8 +74,8 @@ def refine(
     for _ in range(rounds):
         found = two_hop(current, min_weight)
         if cap is not None:
-            order = Window.partitionBy("category").orderBy("rc", "ra", "rb")
-            found = found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= cap)
+            order = [F.asc("rc"), F.asc("ra"), F.asc("rb")]
+            found = number_rows(found, ["category"], order, "_n").filter(F.col("_n") <= cap)
         new = stage(
             found.groupBy("category", "a", "b", "ra", "rb").agg(F.max_by("w", "rc").alias("w")).select(*EDGE),
             "new-edges",

@@ -109,14 +109,26 @@ def _grams(text: Column, size: int) -> Column:
     return F.regexp_extract_all(text, F.lit("(?=(.{%d}))" % size), F.lit(1))
 
 
+def rarest_grams(wanted: DataFrame, postings: DataFrame) -> DataFrame:
+    """``wanted(.., _p)`` with ``_g``: of the three-letter parts of ``_p`` (itself if shorter) the one with the fewest ``postings(_run, _g)``.
+
+    Every run that holds the piece holds all its parts, so any of them finds it; ties go to the first in order. A piece with a
+    part that no run holds is in no run and has no row.
+    """
+    frequency = postings.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = wanted.select("_p").distinct().select("_p", F.explode(F.when(F.length("_p") < 3, F.array("_p")).otherwise(F.array_distinct(_grams(F.col("_p"), 3)))).alias("_g"))
+    best = pieces.join(frequency, "_g", "left").groupBy("_p").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_g").alias("g"))).alias("_b"))
+    return wanted.join(best.filter("_b.n > 0").select("_p", F.col("_b.g").alias("_g")), "_p")
+
+
 def match_substrings(
     texts: DataFrame, keywords: DataFrame, key: Sequence[str], runs: DataFrame | None = None
 ) -> DataFrame:
     """Keywords contained anywhere in the lower-cased text: (key, pos).
 
     A keyword of word characters lies inside one run of word characters, so it is
-    looked for in the dictionary of distinct runs: its first three letters meet
-    the three-letter parts of the runs, and the few pairs that meet are checked.
+    looked for in the dictionary of distinct runs: of its three-letter parts the one
+    that the fewest runs hold meets the runs, and the few pairs that meet are checked.
     Texts then meet keywords through their runs. Of a keyword with other
     characters its longest run is looked for, and the text itself is checked.
     A keyword without a word character is looked for in the texts that hold its
@@ -133,17 +145,15 @@ def match_substrings(
     low = F.lower("keyword")
     pieces = word_runs(F.col("keyword"))
     longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
-    wanted = keywords.select("pos", low.alias("_kw"), longest.alias("_p")).withColumn(
-        "_g", F.substring("_p", 1, 3)
-    )
+    wanted = keywords.select("pos", low.alias("_kw"), longest.alias("_p"))
     if runs is None:
         runs = rows_of(texts, key, F.array_distinct(word_runs(F.col("text"))), "run")
     runs = runs.withColumnRenamed("run", "_run")
-    shorter = [r[0] for r in wanted.select(F.length("_g")).distinct().collect() if r[0] < 3]
+    shorter = [r[0] for r in wanted.select(F.least(F.length("_p"), F.lit(3))).distinct().collect() if r[0] < 3]
     parts = F.array_distinct(F.concat(*[_grams(F.col("_run"), n) for n in (*shorter, 3)]))
+    postings = stage(rows_of(runs.select("_run").distinct(), ["_run"], parts, "_g"), "postings")
     inside = (
-        rows_of(runs.select("_run").distinct(), ["_run"], parts, "_g")
-        .join(wanted, "_g")
+        postings.join(rarest_grams(wanted, postings), "_g")
         .filter(F.col("_run").contains(F.col("_p")))
         .select("_run", "pos", "_kw", "_p")
     )

@@ -20,11 +20,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DIM = 64
-#: Limits that are the feature of the queries that name them: sampled nodes, first paths, vocabulary cap.
+#: Limits that are the feature of the queries that name them: sampled nodes, first paths, vocabulary, new edges of a round.
 SAMPLED_NODES = 500
 FIRST_PATHS = 500
 VOCABULARY = 1000
+NEW_EDGES = 10_000
 EXTENSIONS = (".pdf", ".pptx", ".xlsx", ".docx", ".eml", ".vtt", ".txt", ".png", "")
+#: The time that the checked reports are given as theirs.
+REPORTED = "2025-05-27 07:00:00"
 CLOCK_PREFIX = "00:01:02.500 12:34 um so, "
 
 
@@ -325,7 +328,7 @@ def class_links(spark, sf):
 
 @query
 def refine_edges_capped(spark, sf):
-    return _shown(graph.refine(whole_graph(spark, sf)[1], rounds=2, cap=100))
+    return _shown(graph.refine(whole_graph(spark, sf)[1], rounds=2, cap=NEW_EDGES))
 
 
 @query
@@ -605,6 +608,15 @@ def row_report(spark, sf):
     return rows.join(scored, "row_id").select("category", "row_id", report.alias("report"))
 
 
+@query
+def result_table(spark, sf):
+    """The checked rows with their input columns, written and read back."""
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "lang", "source", "n_chars")
+    path = new_path(spark, "results")
+    writers.write_results(rows, check_sufficiency(spark, sf), ["row_id"], path)
+    return spark.read.parquet(path)
+
+
 # --- annotations and labels --------------------------------------------------------------------------
 
 
@@ -795,7 +807,7 @@ def parse_assignments(spark, sf):
 @query
 def document_report(spark, sf):
     rows = records.parse_documents(raw_records(spark, sf))
-    report = records.document_report(F.col("content"), F.col("metrics"), F.lit("2025-05-27T06:51:20Z"))
+    report = records.document_report(F.col("content"), F.col("metrics"), F.lit("2025-05-27T06:51:20Z"), records.utc_text(F.lit(REPORTED).cast("timestamp")))
     return rows.select("doc_id", report.alias("report"))
 
 

@@ -197,7 +197,7 @@ def refine_ctes(prefix: str, rounds: int, cap: int | None) -> str:
 
 
 FREE = refine_ctes("free_", 3, None)
-CAPPED = refine_ctes("capped_", 2, 100)
+CAPPED = refine_ctes("capped_", 2, 10_000)
 REFINED = refine_ctes("ref_", 2, None)
 SHOWN = "SELECT category, a, b, w FROM "
 oracle("term_edges", SHOWN + "links")
@@ -449,6 +449,11 @@ CTES["whole_checked"] = (
     "coalesce(n.n_sequences, 0) AS n_sequences, coalesce(n.n_sufficient, 0) AS n_sufficient FROM validation v LEFT JOIN vmatched n ON n.row_id = v.row_id "
     "LEFT JOIN (SELECT row_id, string_agg(keyword, ', ' ORDER BY pos) AS t FROM kmatch GROUP BY row_id) k ON k.row_id = v.row_id"
 )
+oracle(
+    "result_table",
+    "SELECT d.doc_id AS row_id, lang, source, n_chars, category, is_sufficient, matched_keywords, n_sequences, n_sufficient FROM documents d "
+    "LEFT JOIN whole_checked c ON c.row_id = d.doc_id",
+)
 oracle("check_sufficiency", "SELECT row_id, category, is_sufficient, matched_keywords, n_sequences, n_sufficient FROM whole_checked")
 oracle(
     "sufficiency_summary",
@@ -703,7 +708,7 @@ oracle(
 CTES["doc_rec"] = (
     "SELECT doc_id, n_chars, form, CASE form WHEN 3 THEN 'Error: Agent returned malformed JSON.' ELSE text END AS content, "
     "CASE WHEN form < 3 THEN 'DOCX' END AS file_type, CASE WHEN form < 3 THEN n_chars END AS size, "
-    "CASE WHEN form < 3 THEN n_chars - n_chars % 97 END AS cleaned, "
+    "CASE WHEN form < 3 THEN n_chars - n_chars % 97 END AS cleaned, CASE WHEN form < 3 THEN '2025-05-27T06:51:20Z' END AS started, "
     "CASE form WHEN 3 THEN 'JSONDecodeError. Received: ' || substr(text, 1, 200) || '...' WHEN 4 THEN NULL ELSE err END AS error_message FROM rec"
 )
 oracle(
@@ -721,15 +726,17 @@ _TAIL = (
 oracle(
     "document_report",
     f"SELECT doc_id, concat_ws(chr(10), '## Transcript Processing Report', '', {_HEAD}"
-    "'- Parsing Duration: ' || coalesce(printf('%.2fs', size / 1000), 'N/A'), '- Cleaning Duration: N/A', "
-    "'- Original Length: ' || coalesce(CAST(size AS VARCHAR), 'N/A') || ' characters', "
-    "'- Cleaned Length: ' || coalesce(CAST(cleaned AS VARCHAR), 'N/A') || ' characters', "
-    f"'- Content Reduction: ' || coalesce(CAST(size - cleaned AS VARCHAR) || ' characters', 'N/A'), {_TAIL} content) AS report FROM doc_rec",
+    "'1. Parsing Stage:', '   - Duration: ' || coalesce(printf('%.2fs', size / 1000), 'N/A'), '   - Started: ' || coalesce(started, 'N/A'), '', "
+    "'2. Cleaning Stage:', '   - Duration: N/A', '   - Started: N/A', '   - Original Length: ' || coalesce(CAST(size AS VARCHAR), 'N/A') || ' characters', "
+    "'   - Cleaned Length: ' || coalesce(CAST(cleaned AS VARCHAR), 'N/A') || ' characters', "
+    f"'   - Content Reduction: ' || coalesce(CAST(size - cleaned AS VARCHAR) || ' characters', 'N/A'), {_TAIL} content, '', '### Final Output', "
+    "'Generated at: 2025-05-27T07:00:00Z') AS report FROM doc_rec",
 )
 oracle(
     "image_report",
     f"SELECT doc_id, concat_ws(chr(10), '## Image Processing Report', '', {_HEAD}"
-    f"'- Extraction Duration: ' || coalesce(printf('%.2fs', size / 1000), 'N/A'), {_TAIL} "
+    "'1. OCR Extraction Stage:', '   - Duration: ' || coalesce(printf('%.2fs', size / 1000), 'N/A'), '   - Started: ' || coalesce(started, 'N/A'), "
+    f"{_TAIL} "
     "coalesce(nullif(content, ''), 'No text extracted')) AS report FROM doc_rec",
 )
 oracle(
@@ -825,8 +832,7 @@ oracle(
     "compose_sections",
     "SELECT CAST(substr(source, 4) AS BIGINT) AS pos, CAST(0 AS BIGINT) AS part, '' AS source, CAST(0 AS BIGINT) AS item, source AS section, '## ' || source AS line FROM "
     "(SELECT DISTINCT source FROM documents) UNION ALL SELECT CAST(substr(source, 4) AS BIGINT), 1, 'documents', doc_id, source, text FROM documents UNION ALL "
-    "SELECT conv_id % 20, 1, 'conversations', conv_id * 1000 + turn, 'src' || (conv_id % 20), text FROM conversations "
-    "WHERE 'src' || (conv_id % 20) IN (SELECT source FROM documents)",
+    "SELECT CASE WHEN 'src' || (conv_id % 20) IN (SELECT source FROM documents) THEN conv_id % 20 END, 1, 'conversations', conv_id * 1000 + turn, 'src' || (conv_id % 20), text FROM conversations",
 )
 oracle(
     "version_history",

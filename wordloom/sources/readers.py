@@ -20,11 +20,21 @@ NETWORK_SCHEMA = (
 CATEGORIES = ("automatable", "non_automatable")
 
 
-def scan_corpus(spark: SparkSession, paths: dict[str, str], text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """Tables of several categories, one path each, as (doc_id, category, text)."""
+def scan_corpus(
+    spark: SparkSession, paths: dict[str, str], text_column: str = "text", id_column: str = "doc_id",
+    schema: str | None = None, format: str = "parquet", **options: str,
+) -> DataFrame:
+    """Tables of several categories, one path each, as (doc_id, category, text).
+
+    CSV (``format="csv"``, header first unless told otherwise) needs a schema; Parquet takes that of its files without one.
+    """
+    if schema is None and format != "parquet":
+        raise ValueError(f"{format} needs a schema")
+    options = {"header": "true", "multiLine": "true", "escape": '"'} | options if format == "csv" else options
     out = None
     for category, path in paths.items():
-        part = spark.read.parquet(path).select(
+        reader = spark.read.format(format).options(**options)
+        part = (reader.schema(schema) if schema else reader).load(path).select(
             F.col(id_column).cast("bigint").alias("doc_id"), F.lit(category).alias("category"),
             F.col(text_column).alias("text"),
         )
