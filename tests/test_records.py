@@ -135,10 +135,10 @@ def test_sentiment_and_sections(spark):
     lexicon = spark.createDataFrame([("good", 1), ("bad", -1)], "term string, polarity int")
     assert {r.i: r.label for r in documents.sentiment_labels(tokens, lexicon, ["i"]).collect()} == {1: "positive", 2: "negative", 3: "neutral", 4: "neutral"}
     template = spark.createDataFrame([("a", 1, "# A"), ("b", 2, "# B")], "section string, pos bigint, heading string")
-    one = spark.createDataFrame([("a", "s1", 2, "two"), ("a", "s1", 1, "one"), ("zz", "s1", 1, "lost")], "section string, source string, item bigint, text string")
+    one = spark.createDataFrame([("a", "s1", 2, "two"), ("a", "s1", 1, "one"), ("zz", "s1", 1, "elsewhere")], "section string, source string, item bigint, text string")
     two = spark.createDataFrame([("a", "s0", 9, "zero")], "section string, source string, item bigint, text string")
-    lines = documents.compose_sections(template, [one, two]).orderBy("pos", "part", "source", "item").collect()
-    assert [r.line for r in lines] == ["# A", "zero", "one", "two", "# B"]
+    lines = documents.compose_sections(template, [one, two]).orderBy(F.asc_nulls_last("pos"), "part", "source", "item").collect()
+    assert [(r.pos, r.line) for r in lines] == [(1, "# A"), (1, "zero"), (1, "one"), (1, "two"), (2, "# B"), (None, "elsewhere")]
 
 
 def test_only_one_whole_json_object_is_a_reply(spark):
