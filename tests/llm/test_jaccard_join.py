@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 from wordloom.llm import jaccard_join
-from wordloom.llm.jaccard_join import Threshold, components, jaccard_components, keep_one
+from wordloom.llm.jaccard_join import BITMAP, Threshold, bitmap, components, jaccard_components, keep_one, wide_apart, wide_bitmap
 
 
 def shingles(text, w):
@@ -74,6 +75,28 @@ def test_overlap_bounds():
                     assert k >= t.shared(n, m) and k >= t.least_of(n) and m >= t.least_of(n)
 
 
+def test_wide_bitmaps_bound_the_difference_of_long_sets():
+    rng = np.random.default_rng(4)
+    assert wide_bitmap(np.arange(BITMAP)) is None
+    pool = np.unique(rng.integers(0, 1 << 62, 30_000))
+    for n, m, both in [(1100, 1030, 1000), (5000, 4600, 4550), (6000, 6000, 0), (9000, 4100, 2000), (2100, 2100, 2100)]:
+        a, b = np.sort(pool[:n]), np.sort(pool[n - both : n - both + m])
+        apart = n + m - 2 * both
+        bound = wide_apart(wide_bitmap(a), wide_bitmap(b))
+        assert bound <= apart and bound == wide_apart(wide_bitmap(b), wide_bitmap(a))
+        short = int(np.bitwise_count(np.frombuffer(bitmap(a), np.uint8) ^ np.frombuffer(bitmap(b), np.uint8)).sum(dtype=int))
+        assert bound >= short and (apart < 1000 or bound > apart / 4)
+
+
+def test_long_texts_against_all_pairs(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(5000)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:4700])), (3, " ".join(base[:2500] + [f"v{rng.randrange(10_000)}" for _ in range(2500)]))]
+    rows += [(4, " ".join(base[300:])), (5, " ".join(base[:1050])), (6, " ".join(base[:1000]))]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(rows, 3, 9, 10)[0] == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5, 6: 5}
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 200) if i % 50], "a long, b long")
     got = {r.id: r.component for r in components(edges).collect()}

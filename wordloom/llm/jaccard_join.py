@@ -14,7 +14,8 @@ A key's list is not expanded into pairs. Each member is first compared to the hu
 list, so that a large group of near copies costs one comparison each; lists whose members
 are connected by then are done. In the others, what is not connected to the hub is
 compared to all that it is not connected to, in cells of bounded size inside tasks, by
-bitmaps whose bound is exact; only pairs that may link leave a task. Nothing is capped.
+bitmaps whose bound is exact; only pairs that may link leave a task. Bitmaps of long sets
+are as wide as the sets, so that few pairs but links have their sets read. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -162,7 +163,22 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-LISTED = "n int, sign binary, bits binary, keys array<long>"
+def wide_bitmap(shingles: np.ndarray) -> bytes | None:
+    """The same over as many classes as the set has shingles, at least; None for sets that the short bitmap can tell apart."""
+    if len(shingles) <= BITMAP:
+        return None
+    width = 1 << (len(shingles) - 1).bit_length()
+    odd = np.bincount((shingles >> 20) & (width - 1), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def wide_apart(x: bytes, y: bytes) -> int:
+    """Least number of shingles that only one of two sets holds, by wide bitmaps; the longer is folded to the shorter."""
+    a, b = (np.frombuffer(z, np.uint8) for z in sorted((x, y), key=len))
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum(dtype=np.int64))
+
+
+LISTED = "n int, sign binary, bits binary, wide binary, keys array<long>"
 
 
 def list_sets(words: int, threshold: Threshold, counters: np.ndarray, small: int):
@@ -183,9 +199,10 @@ def list_sets(words: int, threshold: Threshold, counters: np.ndarray, small: int
                 [
                     chunk.column("id"), pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([bitmap(s) for s in sets], pa.binary()), pa.array([keys_of(s) for s in sets], pa.list_(pa.int64())),
+                    pa.array([bitmap(s) for s in sets], pa.binary()), pa.array([wide_bitmap(s) for s in sets], pa.binary()),
+                    pa.array([keys_of(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["id", "n", "sign", "bits", "keys"],
+                names=["id", "n", "sign", "bits", "wide", "keys"],
             )
 
     return run
@@ -210,7 +227,12 @@ def may_link(threshold: Threshold):
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITMAP // 8) for c in ("bits_a", "bits_b"))
             n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
             apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-            keep = (n + m - apart) // 2 >= threshold.shared(n, m)
+            least = threshold.shared(n, m)
+            keep = (n + m - apart) // 2 >= least
+            long = keep & pc.and_(pc.is_valid(batch.column("wide_a")), pc.is_valid(batch.column("wide_b"))).to_numpy(zero_copy_only=False)
+            for i in np.flatnonzero(long):
+                wide = wide_apart(batch.column("wide_a")[i].as_py(), batch.column("wide_b")[i].as_py())
+                keep[i] = (n[i] + m[i] - wide) // 2 >= least[i]
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -339,7 +361,7 @@ class Join:
         run = list_sets(self.words, self.threshold, order, self.small)
         self.listed = stage(self.rows.mapInArrow(run, f"id {self.kind}, {LISTED}"), "sets_listed")
         known = self.listed.filter("n > 0 and id is not null")
-        first = F.min_by(F.struct("n", "bits", "keys"), "id").alias("own")
+        first = F.min_by(F.struct("n", "bits", "wide", "keys"), "id").alias("own")
         self.reps = stage(known.groupBy("sign").agg(F.min("id").alias("id"), first).select("sign", "id", "own.*"), "set_reps")
         entries = self.reps.select("id", "n", F.explode("keys").alias("key"))
         shared = stage(entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").select("key"), "shared_keys")
@@ -357,7 +379,7 @@ class Join:
         pairs = stage(pairs.select("a", "b").distinct(), "pairs")
         ab = f"a {self.kind}, b {self.kind}"
         for side in "ab":
-            own = self.reps.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+            own = self.reps.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "bits", "wide")])
             pairs = pairs.join(own, side)
         likely = pairs = stage(pairs.mapInArrow(may_link(self.threshold), ab).distinct(), "likely_pairs")
         sets = self.read_sets(likely)
