@@ -3,6 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from wordloom.functions.lexicon import POLARITY
 from wordloom.functions import records
 from wordloom.operators import documents, routing
 
@@ -169,3 +170,11 @@ def test_annotations_of_one_long_document(spark):
         F.lit("w").alias("text"), F.when(F.col("id") % 3 == 0, "ORG").otherwise("NOUN_CHUNK").alias("type"),
     )
     assert documents.merge_annotations(df).count() == n
+
+
+def test_default_polarity_words(spark):
+    assert len({word for word, _ in POLARITY}) == len(POLARITY)
+    rows = [(1, "thanks this is excellent".split()), (2, "the upload failed again".split()), (3, "good but slow".split()), (4, ["the", "of"])]
+    lexicon = spark.createDataFrame(list(POLARITY), "term string, polarity int")
+    got = documents.sentiment_labels(spark.createDataFrame(rows, "i int, tokens array<string>"), lexicon, ["i"]).collect()
+    assert {r.i: r.label for r in got} == {1: "positive", 2: "negative", 3: "neutral", 4: "neutral"}

@@ -35,5 +35,21 @@ CONTRACTIONS = (
     ("wanna", ("wan", "na")),
 )
 
-# A small polarity lexicon; a default for the label operator, replaced by the caller's own table.
-POLARITY = (("the", 1), ("of", 1), ("la", 1), ("der", 1), ("and", -1), ("to", -1), ("le", -1), ("die", -1))
+# Opinion words, the default of the label operator; replaced by the caller's own table.
+POSITIVE = tuple(
+    """
+    accurate amazing awesome beautiful benefit best better brilliant calm clean clear comfortable correct delighted
+    easy effective efficient enjoy enjoyed excellent fast favorite fine friendly fun glad good grateful great happy
+    helpful ideal impressive improved kind love loved nice perfect pleasant pleased positive quick reliable resolved
+    safe satisfied smooth solved strong succeed success successful superb thank thanks useful welcome wonderful
+    """.split()
+)
+NEGATIVE = tuple(
+    """
+    afraid angry annoyed annoying awful bad boring broken complaint confused confusing crash crashed damage damaged
+    dangerous defect delay delayed difficult disappointed dislike error errors fail failed failure fault faulty hate
+    horrible hurt incorrect lost mistake mistakes negative pain painful poor problem problems rude sad slow sorry
+    stuck stupid terrible trouble ugly unable unclear unhappy unsafe useless weak worse worst wrong
+    """.split()
+)
+POLARITY = tuple((word, 1) for word in POSITIVE) + tuple((word, -1) for word in NEGATIVE)
