@@ -380,3 +380,34 @@ def test_a_hub_sends_none_of_its_pairs(spark):
     nodes, df = frames(spark, edges, n)
     found = {tuple(r.ranks) for r in cliques.maximal_cliques(nodes, df).collect()}
     assert found == {(1, 2, 3), (1, 3, 4)} | {(1, i) for i in range(5, n + 1)}
+
+
+def test_pair_products_by_parts(spark, monkeypatch):
+    """Products over many small parts of cells and pairs; places repeat, are null or are missing."""
+    for limit in ("CELLS_PER_TASK", "PAIRS_PER_TASK", "CELLS_AT_ONCE"):
+        monkeypatch.setattr(similarity, limit, 7)
+    rnd = random.Random(5)
+    cells = [(c, i, rnd.choice([None, *range(12)]), rnd.random()) for c in "xy" for i in range(9) for _ in range(6)]
+    pairs = [(c, i, j) for c in "xy" for i, j in itertools.combinations(range(11), 2)]
+    found = similarity.pair_products(
+        spark.createDataFrame(cells, "category string, class bigint, at bigint, v double"), spark.createDataFrame(pairs, "category string, ca bigint, cb bigint")
+    )
+    got = {(r.category, r.ca, r.cb): r.dot for r in found.collect()}
+    want = {
+        (c, i, j): sum(u * w for d, k, p, u in cells for e, m, q, w in cells if (d, k, e, m) == (c, i, c, j) and p is not None and p == q)
+        for c, i, j in pairs
+    }
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_long_columns_are_told_apart_by_a_share_of_the_documents(spark):
+    """Columns longer than the parts of the norms: unlike ones go before the exact product, like ones stay."""
+    rnd = np.random.default_rng(3)
+    even, odd = np.where(np.arange(4000) % 2, 0.0, rnd.random((2, 4000)) + 0.5)
+    odd = np.roll(odd, 1)
+    columns = [even, even * (1 + 0.2 * rnd.random(4000)), odd]
+    rows = [("c", i, d, float(x)) for i, col in enumerate(columns) for d, x in enumerate(col / np.linalg.norm(col)) if x]
+    units = spark.createDataFrame(rows, "category string, class bigint, doc_id bigint, u double")
+    pairs = spark.createDataFrame([("c", 0, 1), ("c", 0, 2), ("c", 1, 2)], "category string, ca bigint, cb bigint")
+    assert sorted((r.ca, r.cb) for r in similarity.probable_pairs(pairs, units, 0.9).collect()) == [(0, 1)]
