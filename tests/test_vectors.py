@@ -118,3 +118,25 @@ def test_vectors_of_another_length_are_refused(spark, tmp_path):
 def test_hashing_needs_no_exchange(spark):
     tokens = spark.createDataFrame([(1, ["aa"])], "doc_id bigint, tokens array<string>")
     assert "Exchange" not in vectors.hash_embed(tokens, "doc_id")._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("by_reference", [False, True])
+def test_knn_over_many_pieces(spark, by_reference):
+    """Several blocks, slices and pieces, equal distances and few hits, against the plain order."""
+    rng = np.random.default_rng(11)
+    texts = ["Alpha one", "beta two", "alphabet", None]
+    store = [(i, [float(x) for x in rng.integers(0, 3, 4)], texts[int(rng.choice(4, p=[0.01, 0.5, 0.01, 0.48]))]) for i in range(1500)]
+    asked = [(i, [float(x) for x in rng.integers(0, 3, 4)], ["ALPHA", "two", None, "none"][i % 4]) for i in range(70)]
+    found = vectors.knn(
+        spark.createDataFrame(asked, "query_id bigint, embedding array<float>, reference string"),
+        spark.createDataFrame(store, "vec_id bigint, embedding array<float>, text string"), k=4, by_reference=by_reference, query_block=2,
+    )
+    got = sorted((r.query_id, r.rank, r.vec_id, r.l2, r.mentions) for r in found.collect())
+    want = []
+    for q, e, word in asked:
+        rows = []
+        for v, x, text in store:
+            hit = by_reference and word is not None and text is not None and word.lower() in text.lower()
+            rows.append((not hit, sum((a - b) ** 2 for a, b in zip(e, x)), v))
+        want += [(q, n, v, d, not miss) for n, (miss, d, v) in enumerate(sorted(rows)[:4], 1)]
+    assert got == sorted(want)
