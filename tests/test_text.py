@@ -90,3 +90,22 @@ def test_number_rows_with_one_hot_group(spark):
     for g, v, i in sorted(rows):
         groups.setdefault(g, []).append(i)
     assert got == {i: n for members in groups.values() for n, i in enumerate(members, 1)}
+
+
+def test_weights_take_no_row_per_document_and_term_through_a_shuffle(spark, monkeypatch):
+    """Repeated and null ids are one document; entries stay with their block, words are asked for once per block."""
+    rows = [(1, ["cat", "dog", "cat"]), (1, ["cat", "owl"]), (None, ["owl", "elk"]), (None, ["elk"]), (2, ["dog"]), (3, [])]
+    tokens = spark.createDataFrame([("c", d, t) for d, t in rows], "category string, doc_id bigint, tokens array<string>")
+    documents = tfidf.document_terms(tokens)
+    statistics = tfidf.statistics_of(documents)
+    assert {r.term: (r.total, r.df) for r in statistics.collect()} == {
+        None: (0, 6), "cat": (3, 2), "dog": (2, 2), "owl": (2, 2), "elk": (2, 2)
+    }
+    weights = tfidf.weights_of(documents, statistics)
+    assert {(r.doc_id, r.term): (r.tf, r.n_terms) for r in weights.collect()} == {
+        (1, "cat"): (3, 3), (1, "dog"): (1, 3), (1, "owl"): (1, 3), (None, "owl"): (1, 2), (None, "elk"): (2, 2), (2, "dog"): (1, 1)
+    }
+    listed = tfidf.weights_of(documents, statistics, statistics.filter("term IS NOT NULL"))
+    assert {(r.doc_id, r.term, round(r.w, 12)) for r in weights.collect()} == {(r.doc_id, r.term, round(r.w, 12)) for r in listed.collect()}
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and not [x for x in plan.split("hashpartitioning(")[1:] if "doc_id" in x.split(")")[0]]
