@@ -1,3 +1,4 @@
+import math
 import itertools
 import random
 
@@ -411,3 +412,31 @@ def test_long_columns_are_told_apart_by_a_share_of_the_documents(spark):
     units = spark.createDataFrame(rows, "category string, class bigint, doc_id bigint, u double")
     pairs = spark.createDataFrame([("c", 0, 1), ("c", 0, 2), ("c", 1, 2)], "category string, ca bigint, cb bigint")
     assert sorted((r.ca, r.cb) for r in similarity.probable_pairs(pairs, units, 0.9).collect()) == [(0, 1)]
+
+
+def test_columns_take_one_exchange_of_the_weights(spark):
+    """Norms, documents and leading entries of a column come from one exchange of the weights; only the short list of keywords has its own."""
+    w = spark.createDataFrame([("c", d, name(t), 0.5, 2) for d in range(6) for t in range(3)], "category string, doc_id bigint, term string, w double, n_terms int")
+    k = spark.createDataFrame([("c", name(t), t + 1) for t in range(3)], NODES)
+    placed = similarity.placed_columns(w, k, 0.9)
+    exchanges = placed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges <= 2
+    rows = placed.collect()
+    assert {(r.u, r.df) for r in rows} == {(1 / math.sqrt(6), 6)} and len({(r.h1, r.h2) for r in rows}) == 1
+    assert {(r["class"], r["rank"]) for r in similarity.column_classes(placed).collect()} == {(1, 1), (1, 2), (1, 3)}
+
+
+def test_norms_of_parts_bound_products_also_where_a_column_is_cut(spark):
+    rnd = np.random.default_rng(7)
+    m = rnd.random((6, 300)) * (rnd.random((6, 300)) < 0.4)
+    m[1] = m[0] * (1 + 0.1 * rnd.random(300))
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    rows = [(c, i, d, float(m[i, d])) for c in "xy" for i in range(6) for d in range(300) if m[i, d]]
+    for order in (rows, rows[::2] + rows[1::2]):
+        units = spark.createDataFrame(order, "category string, class bigint, doc_id bigint, u double")
+        pairs = spark.createDataFrame([(c, i, j) for c in "xy" for i, j in itertools.combinations(range(7), 2)], "category string, ca bigint, cb bigint")
+        near = {(r.category, r.ca, r.cb) for r in similarity.near_pairs(similarity.folded_norms(units), pairs, 0.9).collect()}
+        assert {(c, 0, 1) for c in "xy"} <= near and not any(b == 6 for _, _, b in near)
+    short = [(c, i, 10 * i, 1.0) for c in "xy" for i in range(3)]
+    units = spark.createDataFrame(short, "category string, class bigint, doc_id bigint, u double")
+    assert similarity.near_pairs(similarity.folded_norms(units), spark.createDataFrame([("x", 0, 1), ("x", 1, 2)], "category string, ca bigint, cb bigint"), 0.9).count() == 0
