@@ -140,3 +140,17 @@ def test_knn_over_many_pieces(spark, by_reference):
             rows.append((not hit, sum((a - b) ** 2 for a, b in zip(e, x)), v))
         want += [(q, n, v, d, not miss) for n, (miss, d, v) in enumerate(sorted(rows)[:4], 1)]
     assert got == sorted(want)
+
+
+def test_words_are_hashed_once_per_batch_not_once_per_dimension(spark):
+    lists = [["a", "b", "a", "ü"], ["b"], [], None]
+    tokens = spark.createDataFrame([(i, t) for i, t in enumerate(lists)], "doc_id bigint, tokens array<string>")
+    made = vectors.hash_embed(tokens, "doc_id", 7)
+    want = {}
+    for i, t in enumerate(lists[:2]):
+        n = np.zeros(7)
+        for w in t:
+            n[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 7] += 1
+        want[i] = (n / np.sqrt((n * n).sum())).astype(np.float32).tolist()
+    assert {r.doc_id: r.embedding for r in made.collect()} == want
+    assert "md5" not in made._jdf.queryExecution().executedPlan().toString()
