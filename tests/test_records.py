@@ -178,3 +178,18 @@ def test_default_polarity_words(spark):
     lexicon = spark.createDataFrame(list(POLARITY), "term string, polarity int")
     got = documents.sentiment_labels(spark.createDataFrame(rows, "i int, tokens array<string>"), lexicon, ["i"]).collect()
     assert {r.i: r.label for r in got} == {1: "positive", 2: "negative", 3: "neutral", 4: "neutral"}
+
+
+def test_descriptions_stay_out_of_the_join_with_annotations(spark):
+    """Only whether a description is long enough is joined, and labels are ordered without a comparator per pair."""
+    notes = spark.createDataFrame(
+        [(1, p, p, p + 1, f"T{9 - p % 10}", "ORG") for p in (11, 2, 7, 1)] + [(2, 0, 0, 1, "b", "NOUN_CHUNK")],
+        "doc_id bigint, pos int, start int, end int, text string, type string",
+    )
+    text = spark.createDataFrame([(1, "x" * 20), (1, "x"), (2, "x" * 20), (None, "x" * 20)], "doc_id bigint, description string")
+    made = documents.annotation_sufficiency(text, notes)
+    got = sorted((r.doc_id or 0, r.n_entities, r.n_chunks, r.keywords) for r in made.collect())
+    assert got == [(0, 0, 0, ""), (1, 0, 0, ""), (1, 4, 0, "t8, t7, t2, t8"), (2, 0, 1, "b")]
+    plan = made._jdf.queryExecution().optimizedPlan()
+    join = next(p for p in (plan.p(i) for i in range(20)) if p is not None and p.nodeName() == "Join")
+    assert "description" not in join.output().mkString() and "array_sort" not in plan.toString()
