@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import clean_tokens
-from wordloom.operators import matching, scoring
+from wordloom.operators import matching, scoring, text_blocks
 
 KW = "category string, pos bigint, keyword string, nested array<string>, is_sufficient boolean"
 SEQ = "category string, pos bigint, sequence array<string>, is_sufficient boolean"
@@ -163,3 +163,28 @@ def test_substrings_are_looked_up_by_their_rarest_part(spark):
     wanted = spark.createDataFrame([("commonxyz",), ("common",), ("ab",), ("commonqqq",)], "_p string")
     met = postings.join(matching.rarest_grams(wanted, postings), "_g")
     assert {r._p: r["count"] for r in met.groupBy("_p").count().collect()} == {"commonxyz": 1, "common": 31, "ab": 1}
+
+
+def test_networks_are_scored_in_one_pass(spark):
+    """Both networks at once and over several blocks give what each gives alone; a repeated key is one text, a null key meets nothing."""
+    rows = [(i, TEXTS[1 + i % len(TEXTS)]) for i in range(200)] + [(3, "printer reset"), (None, "server disk"), (None, "disk")]
+    texts = spark.createDataFrame(rows, "row_id bigint, text string").repartition(5)
+    words = spark.createDataFrame(KEYWORDS, KW), spark.createDataFrame([("o", 0, "set", [], True), ("o", 1, "reset printer", [], False)], KW)
+    lists = spark.createDataFrame(SEQUENCES, SEQ), spark.createDataFrame([("o", 0, ["disk", "server"], True)], SEQ)
+    networks = list(zip(words, lists))
+    found = scoring.score_networks(texts, networks, ["row_id"])
+    assert found.count() == 2 * len(rows)
+    got = {(r.net, r.row_id, r.percentage) for r in found.collect() if r.row_id not in (3, None)}
+    for net, (k, s) in enumerate(([KEYWORDS, SEQUENCES], [[("o", 0, "set", [], True), ("o", 1, "reset printer", [], False)], [("o", 0, ["disk", "server"], True)]])):
+        told = {t: brute_score(t, k, s, False, "not sufficient")[1] for t in set(TEXTS.values())}
+        assert {(i, p) for n, i, p in got if n == net} == {(i, told[t]) for i, t in rows[:200] if i != 3}
+    assert {r.suff_matches + r.insuff_matches for r in found.filter("row_id IS NULL").collect()} == {0}
+
+
+def test_rows_that_hold_keywords_are_not_shuffled_by_keyword(spark):
+    """One row per text and network comes out of the blocks, however many keywords it holds; no join goes by text and keyword."""
+    texts = spark.createDataFrame([(i, "abc abcd xabc") for i in range(50)], "row_id bigint, text string")
+    words = spark.createDataFrame([(p, w, p % 2 == 0) for p, w in enumerate(["a", "ab", "abc", "bc", "bcd", "x"])], "pos bigint, keyword string, is_sufficient boolean")
+    hits = matching.substring_hits(text_blocks.run_lists(texts, ["row_id"]), [words], ["row_id"])
+    assert [(r.n, r.yes, r.no, sorted(r.pos)) for r in hits.collect()] == [(6, 3, 3, [0, 1, 2, 3, 4, 5])] * 50
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") <= 1
