@@ -440,3 +440,31 @@ def test_norms_of_parts_bound_products_also_where_a_column_is_cut(spark):
     short = [(c, i, 10 * i, 1.0) for c in "xy" for i in range(3)]
     units = spark.createDataFrame(short, "category string, class bigint, doc_id bigint, u double")
     assert similarity.near_pairs(similarity.folded_norms(units), spark.createDataFrame([("x", 0, 1), ("x", 1, 2)], "category string, ca bigint, cb bigint"), 0.9).count() == 0
+
+
+def test_columns_made_in_parts_are_those_made_at_once(spark, monkeypatch):
+    """The wide steps of the classes in several passes: the same classes and links, the parts in folders of their own."""
+    from wordloom import session
+
+    rnd = np.random.default_rng(11)
+    m = rnd.random((40, 30)) * (rnd.random((40, 30)) < 0.3)
+    m[:, 7] = m[:, 2]
+    m[:, 22] = m[:, 21] * (1 + 0.2 * rnd.random(40))
+    rows = [("c" if t % 5 else "e", d, name(t), float(m[d, t]), int((m[d] > 0).sum())) for d in range(40) for t in range(30) if m[d, t]]
+    w = spark.createDataFrame(rows, "category string, doc_id bigint, term string, w double, n_terms int")
+    k = spark.createDataFrame([("c" if t % 5 else "e", name(t), t + 1) for t in range(30)], NODES)
+
+    def found():
+        made = similarity.column_graph(w, k, 0.6)
+        return {tuple(r) for r in made.members.collect()}, {(r.category, r.ca, r.cb): r.sim for r in made.links.collect()}
+
+    whole = found()
+    monkeypatch.setattr(session, "ROWS_PER_PASS", 50)
+    monkeypatch.setattr(similarity, "PAIRS_PER_TASK", 150)
+    monkeypatch.setattr(similarity, "LEAST_BLOCKS", 2)
+    written = []
+    monkeypatch.setattr(similarity, "stage_each", lambda parts, what: written.append((what, len(parts := list(parts)))) or session.stage_each(parts, what))
+    parts = found()
+    assert whole[0] == parts[0] and whole[1].keys() == parts[1].keys() and whole[1]
+    assert all(parts[1][p] == pytest.approx(s, abs=1e-9) for p, s in whole[1].items())
+    assert dict(written)["units"] == dict(written)["entries"] == session.PASSES and dict(written)["near-pairs"] > 1

@@ -109,3 +109,18 @@ def test_weights_take_no_row_per_document_and_term_through_a_shuffle(spark, monk
     assert {(r.doc_id, r.term, round(r.w, 12)) for r in weights.collect()} == {(r.doc_id, r.term, round(r.w, 12)) for r in listed.collect()}
     plan = weights._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and not [x for x in plan.split("hashpartitioning(")[1:] if "doc_id" in x.split(")")[0]]
+
+
+def test_staged_weights_are_the_weights_without_their_room(spark, monkeypatch):
+    """In parts by blocks, bit for bit the same; on disk lie the factors, which repeat."""
+    from wordloom import session
+
+    monkeypatch.setattr(session, "ROWS_PER_PASS", 2)
+    rows = [(1, ["cat", "dog", "cat"]), (1, ["cat", "owl"]), (None, ["owl", "elk"]), (None, ["elk"]), (2, ["dog"]), (3, []), (4, ["elk", "dog", "owl", "owl"])]
+    tokens = spark.createDataFrame([(c, d, t) for c in "ce" for d, t in rows], "category string, doc_id bigint, tokens array<string>")
+    documents = session.stage(tfidf.document_terms(tokens), "documents")
+    statistics = tfidf.statistics_of(documents)
+    staged = tfidf.staged_weights(documents, statistics)
+    assert staged.columns == tfidf.weights_of(documents, statistics).columns
+    assert sorted(map(repr, staged.collect())) == sorted(map(repr, tfidf.weights_of(documents, statistics).collect()))
+    assert {"idf", "norm"} <= set(spark.read.parquet(staged.inputFiles()[0]).columns)
