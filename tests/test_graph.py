@@ -460,8 +460,8 @@ def test_columns_made_in_parts_are_those_made_at_once(spark, monkeypatch):
 
     whole = found()
     monkeypatch.setattr(session, "ROWS_PER_PASS", 50)
-    monkeypatch.setattr(similarity, "PAIRS_PER_TASK", 150)
-    monkeypatch.setattr(similarity, "LEAST_BLOCKS", 2)
+    monkeypatch.setattr(similarity, "PAIRS_PER_TASK", 12)
+    monkeypatch.setattr(similarity, "LEAST_BLOCKS", 1)
     written = []
     monkeypatch.setattr(similarity, "stage_each", lambda parts, what: written.append((what, len(parts := list(parts)))) or session.stage_each(parts, what))
     parts = found()
