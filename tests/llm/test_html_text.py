@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from wordloom.llm.html_text import common, extract_text, main_lines, main_text, page_lines
+from wordloom.llm.html_text import common, extract_text, line_keys, main_lines, main_text, page_lines, same_lines
 
 MENU = '<div><a href="/a">Home</a><br><a href="/b">About us</a></div>'
 
@@ -65,3 +65,37 @@ def test_odd_rows(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in rows) == [(0, 0), (1, 1), (2, 0), (3, 299999), (3, 299999)]
     assert all(len(r.text) == r.n_chars for r in rows)
     assert extract_text(df.limit(0)).count() == 0
+
+
+def test_differencing_inside_articles(spark):
+    article = lambda *lines: "<article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article>"
+    tale, other = "A long tale that only this page of the site tells to its readers", "Something else altogether, told at some length on the other page"
+    cards = "<article><p>Teaser</p></article>"
+    pages = [
+        (1, "http://a.example/1", article(tale, "Read more every day")),
+        (2, "http://a.example/2", article(other, "Read more every day")),
+        # Three copies of one article in a row: each is compared with the pages beyond them.
+        (3, "http://b.example/x/1", article(other, "All rights reserved")),
+        (4, "http://b.example/y/1", article(tale, "All rights reserved")),
+        (5, "http://b.example/y/2", article(tale, "All rights reserved", "Printed")),
+        (6, "http://b.example/y/3", article(tale, "All rights reserved")),
+        # Articles with less text than stands beside them are cards: both stay, but for what the next page has too.
+        (7, "http://c.example/1", f"{cards}<div>{tale}</div><div>Imprint</div>"),
+        (8, "http://c.example/2", f"{cards}<div>{other}</div><div>Imprint</div>"),
+        # Copies without articles are passed over as well.
+        (9, "http://d.example/1", f"{MENU}<p>{tale}</p>"),
+        (10, "http://d.example/2", f"{MENU}<p>{tale}</p>"),
+        (11, "http://d.example/3", f"{MENU}<p>{tale}</p>"),
+        (12, "http://d.example/4", f"{MENU}<p>{other}</p>"),
+    ]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {
+        1: tale, 2: other, 3: other, 4: tale, 5: f"{tale} Printed", 6: tale, 7: tale, 8: other, 9: tale, 10: tale, 11: tale, 12: other,
+    }
+
+
+def test_line_keys():
+    lines, kinds = ["menu", "menu", "a" * 2000], [0, 2, 1]
+    keys = line_keys(lines, kinds)
+    assert [k & 3 for k in keys] == kinds and [k >> 2 & 1023 for k in keys] == [4, 4, 1023]
+    assert same_lines(keys)[0] == same_lines(keys)[1] != same_lines(keys)[2] and all(-(1 << 63) <= k < 1 << 63 for k in keys)
