@@ -154,3 +154,28 @@ def test_words_are_hashed_once_per_batch_not_once_per_dimension(spark):
         want[i] = (n / np.sqrt((n * n).sum())).astype(np.float32).tolist()
     assert {r.doc_id: r.embedding for r in made.collect()} == want
     assert "md5" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_references_in_blocks(spark, monkeypatch):
+    """References that are no word, blank, shared or missing; texts that come twice, are null or hold several references."""
+    monkeypatch.setattr(vectors, "BLOCKS_PER_TASK", 2)
+    rng = np.random.default_rng(5)
+    words = ["cat", "Dog", "a-b", "", None, "cat", "at", "zebra"]
+    asked = [(i, [float(x) for x in rng.random(4)], words[i % len(words)]) for i in range(24)]
+    texts = ["The CAT sat", "concat a-b", "hotdog stand", None, "na-by at", "", "plain", "dog-cat a-b"]
+    store = [(i, [float(x) for x in rng.random(4)], texts[i % len(texts)]) for i in range(60)]
+    rows = [*store, *store[:8]]
+    found = vectors.knn(
+        spark.createDataFrame(asked, "query_id bigint, embedding array<float>, reference string"),
+        spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, text string"), k=6, by_reference=True, query_block=4,
+    ).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.mentions))
+    f = lambda v: np.array(v, dtype=np.float32).astype(float)
+    for i, e, word in asked:
+        best = []
+        for j, v, text in rows:
+            hit = word is not None and text is not None and word.lower() in text.lower()
+            best.append((not hit, round(float(((f(e) - f(v)) ** 2).sum()), 10), j))
+        assert got[i] == [(j, not miss) for miss, _, j in sorted(best)[:6]], (i, word)
