@@ -188,3 +188,31 @@ def test_rows_that_hold_keywords_are_not_shuffled_by_keyword(spark):
     hits = matching.substring_hits(text_blocks.run_lists(texts, ["row_id"]), [words], ["row_id"])
     assert [(r.n, r.yes, r.no, sorted(r.pos)) for r in hits.collect()] == [(6, 3, 3, [0, 1, 2, 3, 4, 5])] * 50
     assert hits._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") <= 1
+
+
+def test_enhanced_scores_as_term_by_term(spark):
+    """Blocks of texts give what appending every matched sufficient pattern and refitting gives; two networks at once."""
+    key = ["row_id", "field"]
+    texts = spark.createDataFrame([
+        (1, "a", "concatenate the cats and a dog\nalpha beta gamma"), (1, "b", "beta alpha"), (2, "a", None), (2, "b", "  \n"), (3, "a", "cat-dog at x-ray, x-ray"),
+        (4, "a", "nothing known here"), (5, "a", "gamma dogma alpha\nbeta; hot dog stand"), (6, "a", "the"), (7, "a", "CAT cat Cat"), (7, "a", "more of alpha, beta and gamma"),
+    ], "row_id bigint, field string, text string")
+    words = "pos bigint, keyword string, nested array<string>, is_sufficient boolean"
+    lists = "pos bigint, sequence array<string>, is_sufficient boolean"
+    first = (
+        spark.createDataFrame([(0, "cat", [], True), (1, "at", [], True), (2, "dog", [], False), (3, "x-ray", [], True), (4, "alpha", [], None), (5, "Cat", [], True), (6, "the", [], True), (7, "zebra", [], True)], words),
+        spark.createDataFrame([(0, ["alpha", "beta"], True), (1, ["beta", "gamma"], False), (2, ["alpha", "beta", "gamma"], True), (3, ["hot dog", "stand"], True)], lists),
+    )
+    second = spark.createDataFrame([(0, "dogma", [], True), (1, "gamma", [], True), (2, "nothing", [], False)], words), spark.createDataFrame([], lists)
+    got = scoring.score_networks(texts, [first, second], key, "insufficient", enhance=True)
+    for net, (keywords, sequences) in enumerate((first, second)):
+        patterns = scoring.patterns_of(keywords, sequences)
+        held, in_order = matching.match_substrings(texts, keywords, key), matching.match_sequences_ordered(texts, sequences, key)
+        terms = scoring.enhanced_terms(scoring.text_terms(texts, key), patterns, held, in_order, key).localCheckpoint()
+        matched = matching.match_counts(held, in_order, keywords, sequences, key)
+        want = texts.join(matched, key, "left").join(scoring.mean_similarity(terms, patterns, key), key, "left")
+        want = want.select(*key, *scoring._scores(scoring.is_blank(F.col("text")), "insufficient"))
+        rows = sorted(tuple(r) for r in got.filter(F.col("net") == net).drop("net").collect())
+        assert rows == sorted(tuple(r) for r in want.collect()) and len({r[-1] for r in rows}) > 3
+        one = scoring.score_descriptions(texts, keywords, sequences, key, enhance=True, failing_label="insufficient")
+        assert rows == sorted(tuple(r) for r in one.collect())
